@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,40 @@ def hash32(value: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: Slots of a bitmap. Its table has SLOTS / 64 rows at most whatever the input, which is what lets it be broadcast.
+SLOTS = 1 << 26
+
+
+def bitmap(keys: DataFrame, key: str, slots: int = SLOTS) -> DataFrame:
+    """(word, bits): a set of hashed keys, 64 slots to a word."""
+    slot = F.pmod(F.col(key), F.lit(slots))
+    return keys.select((slot.alias("slot"))).distinct().groupBy(F.expr("slot div 64").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(slot % 64))")).alias("bits")
+    )
+
+
+def split_by(rows: DataFrame, key: str, words: DataFrame, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+    """rows whose key may be in the bitmap, and rows whose key surely isn't; no row shuffles."""
+    words = F.broadcast(words.select(F.col("word").alias("__ls_w"), F.col("bits").alias("__ls_b")))
+    slot = f"pmod({key}, {slots}L)"
+    joined = rows.join(words, F.expr(f"{slot} div 64") == F.col("__ls_w"), "left")
+    hit = F.coalesce(F.expr(f"shiftrightunsigned(__ls_b, int({slot} % 64)) & 1L") == 1, F.lit(False))
+    joined = joined.withColumn("__ls_hit", hit).drop("__ls_w", "__ls_b")
+    return joined.filter("__ls_hit").drop("__ls_hit"), joined.filter("not __ls_hit").drop("__ls_hit")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder that spark.checkpoint.dir names: smaller than a checkpoint.
+
+    A lost executor costs no work that is written; the table stays until the folder is cleared.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="ledgerscope-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base}/ledgerscope-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

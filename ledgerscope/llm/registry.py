@@ -4,28 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, url_filter
+from . import exact_dedup, language_id, mixing, packing, pii, secrets, substring_dedup, topk_search, url_filter
 from .common import table
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find_secrets(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, digest=True).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op4_exact_dedup, op7_url_filter)}
+    every = (
+        op1_topk_search, op2_mixing, op3_packing, op4_exact_dedup, op5_pii, op7_url_filter, op8_language_id, op9_secrets, op10_substring_dedup,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op7_url_filter": url_filter.ORACLE}
+    return {"op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op7_url_filter": url_filter.ORACLE}
