@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, jaccard_join, language_id, mixing, packing, pii, secrets, substring_dedup, topk_search, url_filter
@@ -61,8 +62,9 @@ def queries() -> dict:
     every = (
         op1_topk_search, op2_mixing, op3_packing, op4_exact_dedup, op5_pii, op6_jaccard_join, op7_url_filter, op8_language_id, op9_secrets, op10_substring_dedup,
     )
-    return {f.__name__: f for f in every}
+    return {"pipeline": corpus_pipeline.run, **{f.__name__: f for f in every}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op7_url_filter": url_filter.ORACLE}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return pipeline | {"op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op7_url_filter": url_filter.ORACLE}
