@@ -37,8 +37,10 @@ def at(variant: Column, path: str) -> Column:
 
 def typed(variant: Column, kind: str) -> Column:
     """A VARIANT value as string, bigint or double; null if it doesn't convert or, for strings, is an object or list."""
-    value = F.try_variant_get(variant, "$", kind)
-    return F.when(~F.schema_of_variant(variant).rlike("^(OBJECT|ARRAY)"), value) if kind == "string" else value
+    if kind != "string":
+        return F.try_variant_get(variant, "$", kind)
+    one = lambda v: F.when(~F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.try_variant_get(v, "$", kind))
+    return F.get(F.transform(F.array(variant), one), F.lit(0))
 
 
 def ustrip(text: Column) -> Column:

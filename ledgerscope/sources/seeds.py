@@ -59,7 +59,12 @@ def arrival() -> Column:
     return F.struct("file", "line").alias("seq")
 
 
+def parsed(value: Column) -> Column:
+    """A line as VARIANT, raising if it is malformed. Blank lines are null here too: filters may run in any order."""
+    return F.parse_json(F.when(ustrip(value) != "", value))
+
+
 def read_rows(spark: SparkSession, paths: Iterable[str], table: Table, missing_ok: bool = False) -> DataFrame:
     """JSON lines as the columns of a table and seq; other keys go, missing ones are null, a malformed line raises."""
-    lines = read_lines(spark, paths, missing_ok).select(arrival(), F.parse_json("value").alias("v"))
+    lines = read_lines(spark, paths, missing_ok).select(arrival(), parsed(F.col("value")).alias("v"))
     return lines.select("seq", *[typed(at(F.col("v"), name), _KIND[kind]).alias(name) for name, kind in table.columns])
