@@ -116,7 +116,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, block: int = BL
 
     A candidate with the query's id is left out. Ties go to smaller ids. Rows with a null id or vector take
     no part. Of rows that share an id the one with the smallest vector counts. Vectors of unlike lengths
-    compare as if padded with zeros. Fewer than k candidates give fewer rows; empty tables give none.
+    compare as if padded with zeros. Fewer than k candidates give fewer rows; empty tables give none. Scores
+    beyond 64 bits wrap.
     """
     queries = queries.filter("query_id is not null and v is not null").groupBy("query_id").agg(F.min("v").alias("v"))
     candidates = candidates.filter("vec_id is not null and v is not null").select("vec_id", "v")
