@@ -117,7 +117,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
     """(rid, ranges) of docs (rid, text) with words in repeated windows; ranges is an array of (start, stop)."""
     seen = written(docs.mapInPandas(_occurrences(window, phrase), "a long, ctx long, rid long, first int, last int"))
     anchors = seen.groupBy("a").agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).filter("n > 1")
-    recurring = written(seen.join(anchors.select("a", (F.col("lo") != F.col("hi")).alias("varies")), "a"))
+    # Written first: the join then has a plain exchange on both sides, and a hot anchor's partition can be split.
+    anchors = written(anchors.select("a", (F.col("lo") != F.col("hi")).alias("varies")))
+    recurring = written(seen.join(anchors, "a"))
     varied = recurring.filter("varies")
     contexts = written(varied.groupBy("a", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "last")).alias("at")))
 
