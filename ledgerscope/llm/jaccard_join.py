@@ -13,7 +13,7 @@ shingles, then what is left is verified exactly.
 
 Rounds. First each group is opened with itself and with the smallest group of each of its tokens, which links
 groups of copies without trying all pairs. Then components are formed, and only tokens whose documents are
-still in different components open further pairs. Components come from label propagation over the links.
+still in different components open further pairs. Components come from contraction of the links.
 
 Equal sets are one set throughout. Small rows shuffle (token, set); texts only for sets that share a token.
 """
@@ -35,7 +35,7 @@ from .wordhash import mixed, shingles, word_hashes
 
 GROUP = 256
 PAIRS_ROWS = 2000  # documents opened in a task's batch
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 WIDTH = 3  # an interval of set sizes spans this power of 1 / threshold
 
@@ -231,18 +231,33 @@ def _open(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) ->
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, comp): the smallest fp that each of nodes (fp) reaches over edges (x, y)."""
-    both = checkpointed(edges.select("x", "y").unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    labels = checkpointed(nodes.select("fp", F.col("fp").alias("comp")))
-    while True:
-        near = both.join(labels, both["y"] == labels["fp"]).groupBy("x").agg(F.min("comp").alias("near"))
-        step = labels.join(near, labels["fp"] == near["x"], "left").select("fp", "comp", F.least("comp", "near").alias("new"))
-        # A shortcut: the label of the label.
-        far = labels.select(F.col("fp").alias("at"), F.col("comp").alias("far"))
-        step = checkpointed(step.join(far, step["new"] == far["at"], "left").select("fp", (F.col("comp") != F.least("new", "far")).alias("moved"), F.least("new", "far").alias("comp")))
-        labels = step.select("fp", "comp")
-        if step.filter("moved").isEmpty():
-            return labels
+    """(fp, comp): a representative of each of nodes (fp), the same for all that edges (x, y) connect.
+
+    Contraction: a vertex smaller than all its neighbours is a root, and every vertex whose smallest neighbour is a
+    root is absorbed by it; the edges then hold roots and what is left. Vertices are hashes, so a few rounds
+    do. Every vertex is absorbed once; the rounds' small maps are resolved from the last to the first.
+    """
+    edges = checkpointed(edges.select("x", "y").filter("x <> y").distinct())
+    absorbed = []
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        least = checkpointed(both.groupBy("x").agg(F.min("y").alias("y")))
+        roots = least.filter("x < y").select(F.col("x").alias("root"))
+        into = checkpointed(least.filter("y < x").join(roots, F.col("y") == F.col("root")).select(F.col("x").alias("v"), "root"))
+        absorbed.append(into)
+        for end in ("x", "y"):
+            edges = edges.join(into, F.col(end) == F.col("v"), "left").withColumn(end, F.coalesce("root", end)).drop("v", "root")
+        edges = checkpointed(edges.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    final = None
+    for into in reversed(absorbed):
+        if final is not None:
+            later = final.select(F.col("v").alias("at"), F.col("root").alias("last"))
+            here = into.join(later, F.col("root") == F.col("at"), "left").select("v", F.coalesce("last", "root").alias("root"))
+            into = checkpointed(here.unionByName(final))
+        final = into
+    if final is None:
+        return nodes.select("fp", F.col("fp").alias("comp"))
+    return checkpointed(nodes.join(final, nodes["fp"] == final["v"], "left").select("fp", F.coalesce("root", "fp").alias("comp")))
 
 
 def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
