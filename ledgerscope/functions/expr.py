@@ -35,12 +35,22 @@ def at(variant: Column, path: str) -> Column:
     return F.try_variant_get(variant, f"$.{path}", "variant")
 
 
-def typed(variant: Column, kind: str) -> Column:
-    """A VARIANT value as string, bigint or double; null if it doesn't convert or, for strings, is an object or list."""
+def typed(variant: Column, kind: str, path: str = "") -> Column:
+    """The value at a path of a VARIANT as string, bigint or double; null if it doesn't convert or, for strings, is an object or list."""
+    value = F.try_variant_get(variant, f"$.{path}" if path else "$", kind)
     if kind != "string":
-        return F.try_variant_get(variant, "$", kind)
-    one = lambda v: F.when(~F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.try_variant_get(v, "$", kind))
-    return F.get(F.transform(F.array(variant), one), F.lit(0))
+        return value
+    # Only what looks like an object or list pays for the question whether it is one.
+    nested = F.schema_of_variant(at(variant, path) if path else variant).rlike("^(OBJECT|ARRAY)")
+    return F.when(~F.substring(value, 1, 1).isin("{", "["), value).otherwise(F.when(~nested, value))
+
+
+def chosen(alternatives: Sequence[Column], default: Column | None = None) -> Column:
+    """first_truthy for alternatives that are columns already: a plain CASE, compiled with what surrounds it."""
+    chain = F.when(truthy(alternatives[0]), alternatives[0])
+    for v in alternatives[1:]:
+        chain = chain.when(truthy(v), v)
+    return chain.otherwise(alternatives[-1] if default is None else default)
 
 
 def ustrip(text: Column) -> Column:

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.functions.expr import at, first_truthy, truthy, typed
+from ledgerscope.functions.expr import at, chosen, first_truthy, truthy, typed
 from ledgerscope.schemas import TABLES
 from ledgerscope.sources.city import CityConfig
 
@@ -83,28 +83,44 @@ CONTRACT_KEYS = {
 _KIND = {"text": "string", "int": "bigint", "real": "double"}
 
 
-def _read(keys: str, city: CityConfig) -> Column:
-    """The VARIANT that a chain of alternatives gives."""
-    values, default = [], None
-    for key in keys.split():
-        base, _, rest = key.partition(".")
-        if base == "city":
-            default = F.parse_json(F.lit(json.dumps(getattr(city, rest))))
-        elif rest:
-            values.append(at(F.col(f"__{base}"), rest))
-        else:
-            values.append(at(F.col("record"), key))
-    return first_truthy(values, default) if len(values) > 1 or default is not None else values[0]
+def _place(key: str) -> tuple[str, str]:
+    """The VARIANT column and path of a key: org. and unit. keys lie in the resolved objects."""
+    base, _, rest = key.partition(".")
+    return (f"__{base}", rest) if rest else ("record", key)
+
+
+def _name(key: str) -> str:
+    """A column name that tells keys apart where names ignore case."""
+    return "__" + key.encode().hex()
+
+
+def _staged(rows: DataFrame, keys: dict[str, str], objects: dict[str, list[str]]) -> DataFrame:
+    """rows with the nested objects, then every alternative of a chain, as columns: each is evaluated once."""
+    rows = rows.withColumns({f"__{name}": first_truthy([at(F.col("record"), p) for p in paths]) for name, paths in objects.items()})
+    tried = {k: _place(k) for chain in keys.values() for k in chain.split() if " " in chain and not k.startswith("city.")}
+    return rows.withColumns({_name(k): at(F.col(base), path) for k, (base, path) in tried.items()})
+
+
+def _variant(chain: str, city: CityConfig) -> Column:
+    """The VARIANT that a chain of staged alternatives gives."""
+    values = [F.col(_name(k)) for k in chain.split() if not k.startswith("city.")]
+    default = [F.parse_json(F.lit(json.dumps(getattr(city, k[5:])))) for k in chain.split() if k.startswith("city.")]
+    return chosen(values, *default)
+
+
+def _value(chain: str, kind: str, city: CityConfig) -> Column:
+    if " " in chain:
+        return typed(_variant(chain, city), kind)
+    base, path = _place(chain)
+    return typed(F.col(base), kind, path)
 
 
 def _normalized(rows: DataFrame, table: str, keys: dict[str, str], objects: dict, city: CityConfig, more: dict[str, Column]) -> DataFrame:
     kinds = dict(TABLES[table].columns)
     kept = [F.col(c) for c in rows.columns if c not in kinds and c != "record"]
-    # The nested objects are resolved once, in a projection of their own.
-    rows = rows.withColumns({f"__{name}": first_truthy([at(F.col("record"), p) for p in paths]) for name, paths in objects.items()})
-    columns = {name: typed(_read(chain, city), _KIND[kinds[name]]) for name, chain in keys.items()}
+    columns = {name: _value(chain, _KIND[kinds[name]], city) for name, chain in keys.items()}
     columns |= {"city_slug": F.lit(city.slug), "source_system": F.lit(SOURCE_SYSTEM), "observed_at": F.col("observed_at"), "snapshot_sha256": F.col("snapshot_sha256")} | more
-    return rows.select(*[columns[name].alias(name) for name in TABLES[table].names], *kept)
+    return _staged(rows, keys, objects).select(*[columns[name].alias(name) for name in TABLES[table].names], *kept)
 
 
 def procurements(rows: DataFrame, city: CityConfig) -> DataFrame:
@@ -117,7 +133,7 @@ def contracts(rows: DataFrame, city: CityConfig) -> DataFrame:
 
     source_url is the detail address where agency, year and sequence are there, else the record's link or ''.
     """
-    parts = [_read(CONTRACT_KEYS[c], city) for c in ("agency_cnpj", "year", "sequence")]
+    parts = [at(F.col("__org"), "cnpj"), at(F.col("record"), "anoContrato"), _variant(CONTRACT_KEYS["sequence"], city)]
     complete = truthy(parts[0]) & truthy(parts[1]) & truthy(parts[2])
     link = at(F.col("record"), "linkSistemaOrigem")
     detail = F.format_string(CONTRACT_DETAIL, *[typed(p, "string") for p in parts])
