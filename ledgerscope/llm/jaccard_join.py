@@ -332,3 +332,15 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id"
     rows = docs.withColumn("__ls_rid", F.xxhash64(F.col(id), F.col(text)))
     some, rest = split_by(rows, "__ls_rid", bitmap(dropped, "__ls_rid"))
     return some.join(dropped, "__ls_rid", "left_anti").unionByName(rest).drop("__ls_rid")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[s:s + 2], ' ') AS g FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 2, 1))) AS s FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM both_ JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT doc_id, y FROM reach JOIN links ON other = x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(other)::BIGINT AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""

@@ -60,11 +60,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     every = (
-        op1_topk_search, op2_mixing, op3_packing, op4_exact_dedup, op5_pii, op6_jaccard_join, op7_url_filter, op8_language_id, op9_secrets, op10_substring_dedup,
+        op1_topk_search, op2_mixing, op3_packing, op4_exact_dedup, op5_pii, op6_jaccard_join, op7_url_filter, op8_language_id,
+        op9_secrets, op10_substring_dedup,
     )
     return {"pipeline": corpus_pipeline.run, **{f.__name__: f for f in every}}
 
 
 def oracle_sql() -> dict[str, str]:
-    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return pipeline | {"op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op7_url_filter": url_filter.ORACLE}
+    sql = {
+        "pipeline": corpus_pipeline.ORACLE_SQL, "op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE,
+        "op4_exact_dedup": exact_dedup.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_url_filter": url_filter.ORACLE,
+        "op10_substring_dedup": substring_dedup.ORACLE,
+    }
+    return {name: text for name, text in sql.items() if text}

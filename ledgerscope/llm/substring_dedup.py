@@ -180,3 +180,16 @@ def remove_repeats(
     return unpacked(both, docs.columns, {
         "n_words": F.col("c.n"), "n_removed": F.col("c.removed"), "kept_sha256" if digest else "kept_text": F.col("c.kept"),
     })
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, s, array_to_string(ws[s:s + 34], ' ') AS k FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS s FROM d WHERE len(ws) >= 35)),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT doc_id, list(DISTINCT s + o) AS gone FROM win JOIN rep USING (k), range(0, 35) t(o) GROUP BY doc_id),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT doc_id, unnest(gone) AS i, true AS cut FROM gone),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t, count(*) AS n FROM w LEFT JOIN g USING (doc_id, i) WHERE cut IS NULL GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
