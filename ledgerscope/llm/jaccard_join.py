@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from .common import bitmap, checkpointed, salted_join, split_by, written
 from .wordhash import mixed, shingles, word_hashes
 
-GROUP = 256
+GROUP = 4096
+BLOCK = 512  # sets on a side of one product
+SAMPLE_DOCS = 5000  # documents that frequent shingles are learned from
 PAIRS_ROWS = 2000  # documents opened in a task's batch
 FLUSH = 1 << 19
 
@@ -78,12 +80,15 @@ def tags(n: int, num: int, den: int) -> tuple[tuple[int, int, int], ...]:
     return tuple(out)
 
 
-def signatures(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Hashes of the buckets of a set (sorted, distinct): similar sets share one at least."""
+def signatures(tokens: np.ndarray, num: int, den: int, n: int | None = None) -> np.ndarray:
+    """Hashes of the buckets of a set (sorted, distinct): similar sets share one at least.
+
+    tokens may leave out any fixed list of shingles from sets of n: what is left differs no more than the sets do.
+    """
     sums = np.zeros(len(tokens) + 1, np.uint64)
     np.cumsum(mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1:], dtype=np.uint64)
     out = []
-    for tag, k, d in tags(len(tokens), num, den):
+    for tag, k, d in tags(len(tokens) if n is None else n, num, den):
         cut = np.concatenate([[0], np.searchsorted(tokens, _edges(k)), [len(tokens)]])
         filled = cut[1:] > cut[:-1]
         sig = mixed((sums[cut[1:]] - sums[cut[:-1]]) + np.arange(k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tag << 40))
@@ -108,7 +113,32 @@ def _describe(size: int):
     return emit
 
 
-def _tokens(size: int, num: int, den: int):
+def frequent_shingles(docs: DataFrame, size: int, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
+    """Shingles of common passages, from a bounded sample: those in 10 documents or more of it, so a list of bounded length.
+
+    The index leaves them out of the buckets, which keeps documents apart that share a passage only. They decide
+    how much is opened, never what is linked: verification reads whole sets.
+    """
+    share = min(1.0, sample_docs / max(1, docs.count()))
+    some = docs.filter(F.pmod(F.xxhash64("rid", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = [tokens for tokens, _ in _sets(b["text"].tolist(), size)]
+            token, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pd.DataFrame({"token": token.view(np.int64), "n": n})
+
+    counts = some.select("text").mapInPandas(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return np.sort(np.array([r["token"] for r in counts.filter("n >= 10").select("token").collect()], np.int64).view(np.uint64))
+
+
+def _rare(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return tokens
+    return tokens[frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] != tokens]
+
+
+def _tokens(size: int, num: int, den: int, frequent: np.ndarray):
     """(token, fp, live): each set once in a partition; of sets that share a token here one row stays to be
     compared with other partitions, so that a frequent token shuffles a few rows only, and all are marked live."""
 
@@ -131,7 +161,7 @@ def _tokens(size: int, num: int, den: int):
             for tokens, fp in _sets(b["text"].tolist(), size):
                 if len(tokens) and fp not in seen:
                     seen.add(fp)
-                    sigs.append(signatures(tokens, num, den))
+                    sigs.append(signatures(_rare(tokens, frequent), num, den, len(tokens)))
                     fps.append(fp)
                     held += len(sigs[-1])
                     if held >= FLUSH:
@@ -153,7 +183,7 @@ def _overlap(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
         return np.repeat(np.arange(len(sets)), [len(x) for x in at]), np.concatenate(at)
 
     (ra, ca), (rb, cb) = places(a), places(b)
-    step = 1 << 14
+    step = 1 << 13
     for lo in range(0, len(common), step):
         width = min(step, len(common) - lo)
         m = []
@@ -186,8 +216,6 @@ def links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None, num:
         if not keep:
             return []
         ri, b = [ri[i] for i in keep], [b[i] for i in keep]
-    both = _overlap(a, b)
-    union = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :] - both
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -197,11 +225,18 @@ def links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None, num:
         return x
 
     out = []
-    for i, j in zip(*np.nonzero(both * den >= num * union)):
-        x, y = root(li[i]), root(ri[j])
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((li[i], ri[j]))
+    for i in range(0, len(a), BLOCK):
+        for j in range(0 if right is not None else i, len(b), BLOCK):
+            ids, others = li[i : i + BLOCK], ri[j : j + BLOCK]
+            if len({root(x) for x in (*ids, *others)}) == 1:
+                continue  # all connected by now
+            both = _overlap(a[i : i + BLOCK], b[j : j + BLOCK])
+            union = np.array([len(x) for x in a[i : i + BLOCK]])[:, None] + np.array([len(x) for x in b[j : j + BLOCK]])[None, :] - both
+            for p, q in zip(*np.nonzero(both * den >= num * union)):
+                x, y = root(ids[p]), root(others[q])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    out.append((ids[p], others[q]))
     return out
 
 
@@ -263,7 +298,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """(described, labels): docs (doc_id, rid, text) as (doc_id, rid, n, fp), and (fp, comp) of the sets that share tokens."""
     described = written(docs.mapInPandas(_describe(size), "doc_id long, rid long, n long, fp long"))
-    tokens = docs.select("text").mapInPandas(_tokens(size, num, den), "token long, fp long, live boolean")
+    tokens = docs.select("text").mapInPandas(_tokens(size, num, den, frequent_shingles(docs, size)), "token long, fp long, live boolean")
     same = W.partitionBy("token")
     tokens = tokens.withColumn("shared", F.col("live") | (F.min("fp").over(same) != F.max("fp").over(same)))
     tokens = written(tokens.filter("shared").select("token", "fp").distinct())
@@ -294,11 +329,13 @@ def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GRO
                                  F.when(F.col("comp").eqNullSafe(F.col("main")), F.col("comp")).alias("main")))
     places = tokens.join(parts, "fp")
     open_ = places.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    places = written(places.join(open_, "token").select("token", "group", "main").distinct())
+    places = written(places.join(open_, "token").select("token", "fp", "group", "main"))
+    # Only documents with such a token are opened again.
+    texts = texts.drop("group").join(places.select("fp", "group").distinct(), "fp")
+    places = places.drop("fp").distinct()
     right = places.select("token", F.col("group").alias("h"), F.col("main").alias("m"))
     pairs = places.join(right, "token").filter((F.col("group") <= F.col("h")) & ~F.coalesce(F.col("main") == F.col("m"), F.lit(False)))
     pairs = written(pairs.select(F.col("group").alias("g"), "h").distinct())
-    texts = texts.drop("group").join(parts.select("fp", "group"), "fp")
     more = _open(pairs, texts, size, num, den)
     more = written(more)
     return described, labels if more.isEmpty() else components(grouped, edges.unionByName(more))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ROW, hash32, packed, unpacked, word_count
+from .common import ROW, checkpointed, hash32, packed, unpacked, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # of all words, as a fraction: 150 %
@@ -53,23 +53,26 @@ def source_targets(strata: DataFrame, weights: Sequence[int], share: tuple[int,
 
 def mix(
     docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", weights: Sequence[int] = WEIGHTS,
-    share: tuple[int, int] = SHARE, most: int = MOST, salts: int = SALTS, seed: str = SEED,
+    share: tuple[int, int] = SHARE, most: int = MOST, salts: int = SALTS, seed: str = SEED, carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """docs with size, source_size, target, copies and taken (size times copies), dropped ones too.
 
     A null text has size 0; a null source is a source of its own, the last; null ids order first.
     Equal rows are drawn one by one. A source without words has target 0 and no copies. An empty table
-    gives an empty one. Reruns agree: the offset is a hash of seed and source.
+    gives an empty one. Reruns agree: the offset is a hash of seed and source. `carry` names the input columns
+    that the result needs, all by default: what isn't carried, a text above all, doesn't shuffle.
     """
+    carried = list(docs.columns if carry is None else carry)
     rows = docs.select(
-        packed(docs), F.col(source).cast("string").alias("source"), F.col(id).alias("id"), word_count(F.col(text)).alias("size"),
+        packed(docs.select(*[F.col(f"`{c}`") for c in carried])), F.col(source).cast("string").alias("source"), F.col(id).alias("id"), word_count(F.col(text)).alias("size"),
         F.xxhash64(F.col(text)).alias("tie"),
     ).withColumns({
         "class": F.length(F.bin("size")),
         "salt": F.coalesce(hash32(F.col("id").cast("string")), F.lit(0)) % salts,
     })
     key = ["source", "class", "salt"]
-    strata = rows.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    # A small table that three things are read from: without a cut each would count all words again.
+    strata = checkpointed(rows.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     before = F.sum("n").over(W.partitionBy("source").orderBy("class", "salt")) - F.col("n")
     targets = source_targets(strata, weights, share, most).withColumnRenamed("source", "t_source")
     label = F.concat(F.lit(seed), F.coalesce(F.concat(F.lit(":"), F.col("source")), F.lit("")))
@@ -87,7 +90,7 @@ def mix(
     rows = rows.join(strata, on).withColumn("rank", rank)
     crossed = lambda upto: F.floor(upto * F.col("rate") + F.col("offset"))
     rows = rows.withColumn("copies", (crossed(F.col("rank")) - crossed(F.col("rank") - 1)).cast("long"))
-    return unpacked(rows, docs.columns, {
+    return unpacked(rows, carried, {
         "size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "copies": F.col("copies"),
         "taken": F.col("copies") * F.col("size"),
     })

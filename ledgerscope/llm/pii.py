@@ -7,7 +7,7 @@ lowest that keeps the wanted precision on held-out candidates. Known formats (th
 
 The trees learn from weak labels: a candidate that is a base span is a positive one. The features leave out
 what defines the base formats (checksum, value range), so a near miss in a telling context can pass. Learning
-uses a bounded sample (`sample_docs` documents with a digit or at-sign, `sample_spans` candidates of each);
+uses a bounded sample (about `sample_docs` documents with a digit or at-sign, `sample_spans` candidates of each);
 scanning is a vectorised map over all whole texts, without a shuffle.
 """
 
@@ -226,9 +226,12 @@ def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sample_of(docs: DataFrame, text: str, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Training candidates of the documents with the smallest hashes among those with a digit or at-sign."""
-    some = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]")).withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
-    return some.orderBy("h", "text").limit(sample_docs).mapInPandas(_sampled, "features array<double>, label int, fold int")
+    """Training candidates of about `sample_docs` of the documents with a digit or at-sign, chosen by a hash of the row."""
+    some = docs.filter(F.col(text).rlike("[0-9@]"))
+    share = min(1.0, sample_docs / max(1, some.count()))
+    h = F.pmod(F.xxhash64(packed(docs)), F.lit(1 << 40))
+    chosen = some.select(F.col(text).alias("text"), h.alias("h")).filter(F.col("h") < int(share * (1 << 40)))
+    return chosen.mapInPandas(_sampled, "features array<double>, label int, fold int")
 
 
 def scan(text: str, model: Boosted | None, limits: dict[str, float]) -> tuple[list[Span], list[Span]]:

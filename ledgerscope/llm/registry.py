@@ -15,7 +15,7 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
