@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -240,21 +241,36 @@ def scan(text: str, model: Boosted | None, limits: dict[str, float]) -> tuple[li
     base.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
     if model is None or not limits:
         return base, []
-    taken = [(s, e) for _, s, e in base]
-    proposed = [c for c in candidates(text) if c[0] in limits and not any(s < c[2] and c[1] < e for s, e in _near(taken, c))]
+    taken = _merged(base)
+    proposed = [c for c in candidates(text) if c[0] in limits and not _touches(taken, c)]
     if not proposed:
         return base, []
     p = model.predict(np.array([features(text, c) for c in proposed]))
     added: list[Span] = []
+    placed: list[tuple[int, int]] = []
     for i in sorted(range(len(proposed)), key=lambda i: (-p[i], proposed[i][1], -proposed[i][2])):
         c = proposed[i]
-        if p[i] >= limits[c[0]] and not any(a[1] < c[2] and c[1] < a[2] for a in added):
+        if p[i] >= limits[c[0]] and not _touches(placed, c):
             added.append(c)
+            insort(placed, (c[1], c[2]))
     return base, added
 
 
-def _near(taken: list[tuple[int, int]], c: Span) -> list[tuple[int, int]]:
-    return taken if len(taken) <= 64 else [(s, e) for s, e in taken if e > c[1] - 1 and s < c[2] + 1]
+def _merged(spans: list[Span]) -> list[tuple[int, int]]:
+    """The places that spans cover, ascending and disjoint."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _touches(places: list[tuple[int, int]], c: Span) -> bool:
+    """Whether c overlaps one of places, which are ascending and disjoint."""
+    at = bisect_left(places, (c[2], 0))
+    return at > 0 and places[at - 1][1] > c[1]
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:

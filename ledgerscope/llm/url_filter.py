@@ -37,7 +37,11 @@ def host_key(host: Column) -> Column:
 
 
 def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(rules, "host string, path string, action string")
+    """(host, path, action) of a list of rules, as literals of the plan."""
+    fields = ("host", "path", "action")
+    rows = [F.struct(*[F.lit(v).cast("string").alias(k) for k, v in zip(fields, rule)]) for rule in rules]
+    none = F.expr("cast(array() as array<struct<host:string,path:string,action:string>>)")
+    return spark.range(1).select(F.inline(F.array(*rows) if rows else none))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT, salts: int = SALTS) -> DataFrame:
