@@ -89,8 +89,9 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, how: str, salts: int = 16) -> DataFrame:
-    """left joined with right, which has one row a key, on key; a hot key of left spreads by a hash of its column `by`."""
-    left = left.withColumn("__ls_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+def salted_join(left: DataFrame, right: DataFrame, key: str | list[str], by: str | list[str], how: str, salts: int = 16) -> DataFrame:
+    """left joined with right, which has one row a key, on key; a hot key of left spreads by a hash of its columns `by`."""
+    key, by = ([x] if isinstance(x, str) else x for x in (key, by))
+    left = left.withColumn("__ls_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
     right = right.withColumn("__ls_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, "__ls_salt"], how).drop("__ls_salt")
+    return left.join(right, [*key, "__ls_salt"], how).drop("__ls_salt")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, bitmap, packed, split_by, unpacked, written
+from .common import ROW, WORD, bitmap, packed, salted_join, split_by, unpacked, written
 from .wordhash import range_hashes, shingles, word_hashes
 
 WINDOW, PHRASE = 35, 8
@@ -137,7 +137,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
 
     span = lambda df: df.select("rid", F.col("first").cast("long").alias("start"), (F.col("last") + window).cast("long").alias("stop"))
     whole = span(recurring.filter("not varies"))
-    several = span(varied.join(contexts.filter("n > 1").select("a", "ctx"), ["a", "ctx"]))
+    several = span(salted_join(varied, contexts.filter("n > 1").select("a", "ctx"), ["a", "ctx"], ["rid", "first"], "inner"))
     ranges = whole.unionByName(several).unionByName(located)
     return ranges.groupBy("rid").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
