@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerscope.functions import expr as E
-from ledgerscope.functions.windows import date_windows, request_grid
+from ledgerscope.functions.windows import date_windows, request_grid, windows_between
 from ledgerscope.operators import concentration, merge, normalize, provenance, scope
 from ledgerscope.schemas import TABLES, Table
 from ledgerscope.sources.city import CityConfig
@@ -85,11 +85,19 @@ def events_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two thirds of the events only, as its SQL has it; upsert_all_events merges them all."""
     rows = _t(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", F.col("event_id").alias("seq"))
     stored = merge.last_wins(rows.filter("event_id % 3 = 0"), _EVENTS, "seq")
     return merge.last_wins(rows.filter("event_id % 3 = 1"), _EVENTS, "seq", stored)
 
 
+def upsert_all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd events arrive at a store that has the even ones: every event is on one side."""
+    rows = _t(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", F.col("event_id").alias("seq"))
+    arriving = F.coalesce(F.pmod("event_id", F.lit(2)) == 1, F.lit(False))
+    return merge.last_wins(rows.filter(arriving), _EVENTS, "seq", merge.last_wins(rows.filter(~arriving), _EVENTS, "seq"))
+
+
 _ORDERS = Table((("o_orderkey", "int"), ("o_totalprice", "real")), ("o_orderkey",), ("o_orderkey",))
 
 
@@ -109,15 +117,17 @@ def supplier_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_by_window(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    windows = date_windows(spark, date(1995, 1, 1), date(2001, 8, 1), 30)
     orders = _t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    bounds = orders.agg(F.min("day").alias("first"), F.max("day").alias("last"))
     # Windows have one length, so an order's window is found by arithmetic: an equi-join, not a range join.
-    number = F.floor(F.datediff("day", F.lit(date(1995, 1, 1))) / 30).cast("int")
-    sums = orders.groupBy(number.alias("number")).agg(F.count("*").alias("orders"), E.money_sum(F.col("o_totalprice"), "decimal(18,2)").alias("total"))
-    return windows.withColumn("number", F.floor(F.datediff("start", F.lit(date(1995, 1, 1))) / 30).cast("int")), sums
+    number = lambda day: F.floor(F.datediff(day, "first") / 30).cast("int")
+    dated = orders.crossJoin(F.broadcast(bounds.select("first")))
+    sums = dated.groupBy(number("day").alias("number")).agg(F.count("*").alias("orders"), E.money_sum(F.col("o_totalprice"), "decimal(18,2)").alias("total"))
+    return windows_between(bounds, 30).withColumn("number", number("start")).drop("first"), sums
 
 
 def date_windows_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and their value by windows of 30 days from the first order's day to the last one's."""
     windows, sums = _orders_by_window(spark, sf_dir)
     return windows.join(sums, "number", "left").select(
         F.date_format("start", "yyyy-MM-dd").alias("window_start"), F.date_format("end", "yyyy-MM-dd").alias("window_end"),
@@ -277,16 +287,22 @@ def procurement_contract_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Required minus present: suppliers without any line item's part of type 1."""
+    """Required minus present: suppliers without a line item whose part key is a multiple of 7, as its SQL has it."""
     have = _t(spark, sf_dir, "lineitem").filter("l_partkey % 7 = 0").select(F.col("l_suppkey").alias("s_suppkey"))
     return _t(spark, sf_dir, "supplier").select("s_suppkey").subtract(have)
 
 
+def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required minus present, over all line items: orders without any."""
+    return _t(spark, sf_dir, "orders").select("o_orderkey").subtract(_t(spark, sf_dir, "lineitem").select("l_orderkey"))
+
+
 _QUERIES = (
     supplier_concentration, concentration_null_supplier, concentration_by_city, contracts_first_wins, null_key_append, distinct_seen, events_last_wins,
     upsert_existing, insert_ignore_existing, supplier_dimension, date_windows_rollup, request_grid_cells, normalize_procurement, scope_procurements,
     normalize_contract, scope_contracts, seed_null_normalise, cnpj_digits, cnpj_union, active_modalities, json_extract_props, expense_by_stage,
     snapshot_hash, safe_suffix, snapshot_dedupe, new_snapshots, coverage_report, ingest_counts, procurement_contract_link, config_gaps,
+    upsert_all_events, order_gaps,
 )
 
 
@@ -390,4 +406,8 @@ AND NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id % 2 = 0 AND e.text = d.
         "procurement_contract_link": """SELECT o_orderkey, o_totalprice, count(l_orderkey) AS contracts, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS contracted
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""",
         "config_gaps": "SELECT s_suppkey FROM supplier EXCEPT SELECT l_suppkey FROM lineitem WHERE l_partkey % 7 = 0",
+        "upsert_all_events": """
+SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY abs(event_id) % 2 DESC, event_id DESC) AS rn
+FROM events) WHERE rn = 1""",
+        "order_gaps": "SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem",
     }
