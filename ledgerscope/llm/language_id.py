@@ -6,6 +6,10 @@ unit vectors. A document gets the language with the highest cosine.
 
 Learning reads a bounded sample of labelled rows (`per_language` rows of each language, by a hash of the id);
 what reaches the driver is one vector per language. Prediction is a map over whole texts without a shuffle.
+
+A cosine has noise of about 1 / sqrt(dimensions), and short texts reach less of it than long ones. So a text
+is in a language if its score reaches a limit by its number of distinct trigrams; limits are calibrated on
+held-out labelled rows and on their first words, which stand for short texts.
 """
 
 from __future__ import annotations
@@ -24,6 +28,13 @@ PER_LANGUAGE = 4000
 SEED = 20
 UNKNOWN = "und"
 
+CALIBRATION = 1000  #: held-out rows a language, at most, that limits are calibrated on
+#: A limit is so much of that quantile of the true language's cosine, over LEAST values or more.
+QUANTILE, PART, LEAST = 0.01, 0.5, 20
+#: Texts are classed by distinct trigrams: 1, 2-3, 4-7, ..., 128 or more. Bins of a cosine, 0 to 1.
+CLASSES, BINS = 8, 200
+_PREFIXES = (1, 2, 4, 8, 16, 32, 64)
+
 _CHUNK_CHARS, _CHUNK_DOCS, _SLICE = 1 << 20, 256, 4096
 _letters: dict[int, np.ndarray] = {}
 _bmp: list[np.ndarray] = []
@@ -46,8 +57,8 @@ def _letter(point: int, dimensions: int) -> np.ndarray:
     return _letters[point]
 
 
-def _bundle(owners: list[int], pieces: list[str], n: int, dimensions: int, out: np.ndarray) -> None:
-    """Adds the trigram vectors of pieces to the rows of out that own them."""
+def _bundle(owners: list[int], pieces: list[str], n: int, dimensions: int, out: np.ndarray, distinct: np.ndarray) -> None:
+    """Adds the trigram vectors of pieces to the rows of out that own them, and their numbers of distinct trigrams."""
     arrays = [np.frombuffer((" " + p.lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32) for p in pieces]
     row = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays])
     points = np.concatenate(arrays)
@@ -81,11 +92,17 @@ def _bundle(owners: list[int], pieces: list[str], n: int, dimensions: int, out:
             i, o = index[mine] - at, owner[mine]
         counts = np.bincount(o * len(part) + i, minlength=n * len(part)).reshape(n, len(part))
         out += counts.astype(np.float32) @ bound.astype(np.float32)
+        distinct += (counts > 0).sum(1)
 
 
 def profiles(texts: list[str | None], dimensions: int = DIMENSIONS) -> np.ndarray:
     """The bundled trigram vector of each whole text; zero where it has no letter."""
-    out = np.zeros((len(texts), dimensions), np.float64)
+    return profiles_and_distinct(texts, dimensions)[0]
+
+
+def profiles_and_distinct(texts: list[str | None], dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
+    """profiles, and the number of distinct trigrams of each text (for texts of several pieces, of each piece, added up)."""
+    out, distinct = np.zeros((len(texts), dimensions), np.float64), np.zeros(len(texts), np.int64)
     begin = 0
     while begin < len(texts):
         end, chars, owners, pieces = begin, 0, [], []
@@ -97,15 +114,15 @@ def profiles(texts: list[str | None], dimensions: int = DIMENSIONS) -> np.ndarra
         for i, t in enumerate(texts[begin:end]):
             for at in range(0, len(t or ""), _CHUNK_CHARS):
                 if len(pieces) and at:  # a text longer than a chunk goes piece by piece
-                    _bundle(owners, pieces, n, dimensions, sums)
+                    _bundle(owners, pieces, n, dimensions, sums, distinct[begin:end])
                     owners, pieces = [], []
                 owners.append(i)
                 pieces.append(t[max(0, at - 2) : at + _CHUNK_CHARS])
         if pieces:
-            _bundle(owners, pieces, n, dimensions, sums)
+            _bundle(owners, pieces, n, dimensions, sums, distinct[begin:end])
         out[begin:end] = sums
         begin = end
-    return out
+    return out, distinct
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -113,16 +130,24 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(norm == 0, 1, norm)
 
 
-def learn(labelled: DataFrame, text: str, lang: str, id: str, dimensions: int = DIMENSIONS, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """Language names and prototypes from labelled rows; sums are of integers, so reruns agree."""
+def _sample(labelled: DataFrame, text: str, lang: str, id: str, per_language: int) -> DataFrame | None:
+    """(lang, text) of about per_language labelled rows of each language, by a hash of the id; None without any."""
     labelled = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id).cast("string")).alias("h"))
     labelled = labelled.filter("lang is not null and text is not null")
     share = {r["lang"]: min(1.0, per_language / r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not share:
-        return [], np.zeros((0, dimensions))
+        return None
     chosen = F.lit(False)
     for name, part in share.items():
         chosen = chosen | ((F.col("lang") == name) & (F.pmod("h", F.lit(1 << 20)) < int(part * (1 << 20))))
+    return labelled.filter(chosen).select("lang", "text")
+
+
+def learn(labelled: DataFrame, text: str, lang: str, id: str, dimensions: int = DIMENSIONS, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
+    """Language names and prototypes from labelled rows; sums are of integers, so reruns agree."""
+    sample = _sample(labelled, text, lang, id, per_language)
+    if sample is None:
+        return [], np.zeros((0, dimensions))
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
@@ -133,7 +158,7 @@ def learn(labelled: DataFrame, text: str, lang: str, id: str, dimensions: int =
         if total:
             yield pd.DataFrame({"lang": list(total), "v": [v.tolist() for v in total.values()]})
 
-    parts = labelled.filter(chosen).select("lang", "text").mapInPandas(sums, "lang string, v array<long>")
+    parts = sample.mapInPandas(sums, "lang string, v array<long>")
     rows = parts.select("lang", F.posexplode("v")).groupBy("lang", "pos").agg(F.sum("col").alias("v")).collect()
     names = sorted({r["lang"] for r in rows})
     protos = np.zeros((len(names), dimensions))
@@ -142,20 +167,61 @@ def learn(labelled: DataFrame, text: str, lang: str, id: str, dimensions: int =
     return names, _unit(protos)
 
 
-def predictor(names: list[str], protos: np.ndarray, dimensions: int = DIMENSIONS):
-    """A vectorised function from texts to (lang, score)."""
+def _class(distinct: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(np.log2(np.maximum(distinct, 1))).astype(int), 0, CLASSES - 1)
+
+
+def calibrate(labelled: DataFrame, names: list[str], protos: np.ndarray, text: str, lang: str, id: str, dimensions: int = DIMENSIONS, per_language: int = CALIBRATION) -> np.ndarray:
+    """The least score of each class of texts, from labelled rows that nothing was learned from.
 
-    @F.pandas_udf("lang string, score double")
+    A class of fewer than LEAST values takes the limit of the one below; without any, the limit is 0. What
+    reaches the driver is a histogram of CLASSES * BINS counts at most.
+    """
+    limits = np.zeros(CLASSES)
+    sample = _sample(labelled.filter(F.col(lang).isin(names)), text, lang, id, per_language) if names else None
+    if sample is None:
+        return limits
+
+    def histogram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((CLASSES, BINS), np.int64)
+        for batch in batches:
+            pieces, row = [], []
+            for name, t in zip(batch["lang"], batch["text"]):
+                words = t.split(None, _PREFIXES[-1])
+                some = [t, *(" ".join(words[:k]) for k in _PREFIXES if k < len(words))]
+                pieces += some
+                row += [names.index(name)] * len(some)
+            vectors, distinct = profiles_and_distinct(pieces, dimensions)
+            cosine = (_unit(vectors) * protos[row]).sum(1)
+            bins = np.clip((cosine * BINS).astype(int), 0, BINS - 1)
+            np.add.at(total, (_class(distinct)[distinct > 0], bins[distinct > 0]), 1)
+        at = np.argwhere(total > 0)
+        yield pd.DataFrame({"class": at[:, 0], "bin": at[:, 1], "n": total[total > 0]})
+
+    counts = np.zeros((CLASSES, BINS), np.int64)
+    for r in sample.mapInPandas(histogram, "class int, bin int, n long").groupBy("class", "bin").agg(F.sum("n").alias("n")).collect():
+        counts[r["class"], r["bin"]] = r["n"]
+    for k in range(CLASSES):
+        n = counts[k].sum()
+        limits[k] = PART * np.searchsorted(counts[k].cumsum(), QUANTILE * n, side="right") / BINS if n >= LEAST else limits[k - 1] if k else 0.0
+    return limits
+
+
+def predictor(names: list[str], protos: np.ndarray, dimensions: int = DIMENSIONS, limits: np.ndarray | None = None):
+    """A vectorised function from texts to (lang, score, known): known texts have letters and a score that reaches their limit."""
+    least = np.zeros(CLASSES) if limits is None else limits
+
+    @F.pandas_udf("lang string, score double, known boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        vectors = profiles([t if isinstance(t, str) else None for t in texts], dimensions)
+        vectors, distinct = profiles_and_distinct([t if isinstance(t, str) else None for t in texts], dimensions)
         some = (vectors != 0).any(1)
         if not names:
-            return pd.DataFrame({"lang": [UNKNOWN] * len(texts), "score": 0.0})
+            return pd.DataFrame({"lang": [UNKNOWN] * len(texts), "score": 0.0, "known": some})
         cosine = _unit(vectors) @ protos.T
         best = cosine.argmax(1)
+        score = np.where(some, np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0), 0.0)
         return pd.DataFrame({
-            "lang": np.where(some, np.array(names, object)[best], UNKNOWN),
-            "score": np.where(some, np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0), 0.0),
+            "lang": np.where(some, np.array(names, object)[best], UNKNOWN), "score": score, "known": some & (score >= least[_class(distinct)]),
         })
 
     return predict
@@ -176,7 +242,16 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", id: str =
     return unpacked(rows, docs.columns, {"held_out": F.col("out"), "lang_pred": F.col("p.lang"), "score": F.col("p.score")})
 
 
-def drop_unknown(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id") -> DataFrame:
-    """docs without those in no language (null texts and texts without letters), columns as they were."""
+def drop_unknown(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", dimensions: int = DIMENSIONS, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """docs in a language, columns as they were.
+
+    Null texts and texts without letters go, and texts whose best cosine is below the limit for their number of
+    distinct trigrams: junk letters, and languages without a prototype. Limits come from held-out labelled rows;
+    without such rows, or where nothing could be learned (no labels outside the held-out rows), all texts with letters stay.
+    """
     inner = docs.select(packed(docs), F.col(text).alias("t"), F.col(lang).alias("l"), F.col(id).alias("i"))
-    return identify(inner, "t", "l", "i").filter(F.col("lang_pred") != UNKNOWN).select(f"{ROW}.*")
+    out = held_out(F.col("i"))
+    names, protos = learn(inner.filter(~out), "t", "l", "i", dimensions, per_language)
+    limits = calibrate(inner.filter(out), names, protos, "t", "l", "i", dimensions)
+    known = predictor(names, protos, dimensions, limits)(F.col("t"))
+    return inner.select(ROW, known.alias("p")).filter("p.known").select(f"{ROW}.*")
