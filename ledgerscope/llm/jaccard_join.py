@@ -341,6 +341,17 @@ def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GRO
     return described, labels if more.isEmpty() else components(grouped, edges.unionByName(more))
 
 
+def _placed(docs: DataFrame, text: str, id: str, size: int, threshold: tuple[int, int], group: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with shingles, (doc_id, rid, n, component_id, winner) with the rid that their component keeps, and rows without any, (doc_id, rid, n)."""
+    num, den = threshold
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("rid"))
+    described, labels = linked_sets(rows, size, num, den, group)
+    some = salted_join(described.filter("n > 0"), labels, "fp", "rid", "left").withColumn("comp", F.coalesce("comp", "fp"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid"))["rid"]
+    smallest = some.groupBy("comp").agg(F.min("doc_id").alias("component_id"), first.alias("winner"))
+    return salted_join(some, smallest, "comp", "rid", "inner"), described.filter("n = 0").select("doc_id", "rid", "n")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 5, threshold: tuple[int, int] = (80, 100), group: int = GROUP
 ) -> DataFrame:
@@ -352,20 +363,21 @@ def near_duplicates(
     component; null ids count only where there is no other. Repeated rows are in one component. An empty
     table gives an empty one. Ids must cast to long. Sets are told apart by 64-bit hashes.
     """
-    num, den = threshold
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("rid"))
-    described, labels = linked_sets(rows, size, num, den, group)
-    alone = described.filter("n = 0").select("doc_id", "rid", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    some = salted_join(described.filter("n > 0"), labels, "fp", "rid", "left").withColumn("comp", F.coalesce("comp", "fp"))
-    smallest = some.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    some = salted_join(some, smallest, "comp", "rid", "inner")
+    some, alone = _placed(docs, text, id, size, threshold, group)
+    alone = alone.select("doc_id", "rid", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return some.select("doc_id", "rid", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
-    """docs with one document of each component, the one with the smallest id, columns as they were."""
-    dropped = near_duplicates(docs, text, id, **options).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    dropped = written(dropped.select(F.col("rid").alias("__ls_rid")).distinct())
+def drop_near_duplicates(
+    docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 5, threshold: tuple[int, int] = (80, 100), group: int = GROUP
+) -> DataFrame:
+    """docs with one document of each component, columns as they were.
+
+    The one with the smallest id stays, null ids last, then the one with the smallest hash of id and text.
+    Rows that repeat both its id and its text are the same document and stay with it.
+    """
+    some, _ = _placed(docs, text, id, size, threshold, group)
+    dropped = written(some.filter("rid <> winner").select(F.col("rid").alias("__ls_rid")).distinct())
     rows = docs.withColumn("__ls_rid", F.xxhash64(F.col(id), F.col(text)))
     some, rest = split_by(rows, "__ls_rid", bitmap(dropped, "__ls_rid"))
     return some.join(dropped, "__ls_rid", "left_anti").unionByName(rest).drop("__ls_rid")
