@@ -220,13 +220,13 @@ def cnpj_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active_modalities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload with an entry per customer: ids as numbers and texts, some inactive."""
+    """Payloads of 100 customer numbers each, with an entry per customer: ids as numbers and texts, some inactive."""
     item = F.struct(
         F.when(F.col("c_nationkey") % 2 == 0, F.col("c_nationkey").cast("string")).otherwise(F.concat(F.lit('"'), F.col("c_nationkey"), F.lit('"'))).alias("id"),
         (F.col("c_nationkey") % 5 != 0).cast("string").alias("active"),
     )
     entry = F.concat(F.lit('{"id":'), item["id"], F.lit(',"statusAtivo":'), item["active"], F.lit("}"))
-    payload = _t(spark, sf_dir, "customer").groupBy((F.col("c_custkey") % 50).alias("page")).agg(F.concat(F.lit('{"data":['), F.array_join(F.collect_list(entry), ","), F.lit("]}")).alias("payload"))
+    payload = _t(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 100").alias("page")).agg(F.concat(F.lit('{"data":['), F.array_join(F.collect_list(entry), ","), F.lit("]}")).alias("payload"))
     return scope.active_modalities(payload)
 
 

@@ -24,3 +24,13 @@ def test_every_line_item_is_subtracted(spark, tmp_path):
     spark.createDataFrame([(i,) for i in range(1, 30)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
     spark.createDataFrame([(i, i) for i in range(1, 29)], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
     assert [r["o_orderkey"] for r in registry.order_gaps(spark, str(tmp_path)).collect()] == [29]
+
+
+def test_payload_pages_are_bounded(spark, tmp_path, monkeypatch):
+    spark.range(20_000).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    pages = []
+    whole = registry.scope.active_modalities
+    monkeypatch.setattr(registry.scope, "active_modalities", lambda payload: pages.append(payload) or whole(payload))
+    assert sorted(r["id"] for r in registry.active_modalities(spark, str(tmp_path)).collect()) == [i for i in range(25) if i % 5]
+    sizes = [r["payload"].count('"id"') for r in pages[0].collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 100
