@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +32,26 @@ def unpacked(df: DataFrame, columns: list[str], added: dict[str, Column]) -> Dat
     return df.select(*kept, *[v.alias(k) for k, v in added.items()])
 
 
+@lru_cache(None)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerscope-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where none is set, a local session gets one of its own; a cluster has to name one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return _local_folder()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir, with its lineage cut; a folder is chosen only where none is set."""
+    """df written to the shared folder as a checkpoint, with its lineage cut."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerscope-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -74,19 +90,48 @@ def split_by(rows: DataFrame, key: str, words: DataFrame, slots: int = SLOTS) ->
     return joined.filter("__ls_hit").drop("__ls_hit"), joined.filter("not __ls_hit").drop("__ls_hit")
 
 
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
+    path = f"{shared_folder(df.sparkSession)}/ledgerscope-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder that spark.checkpoint.dir names: smaller than a checkpoint.
+    """df as a Parquet table in the shared folder: smaller than a checkpoint.
 
-    A lost executor costs no work that is written; the table stays until the folder is cleared.
+    A lost executor costs no work that is written; the table stays until the folder is cleared (but see Scratch).
     """
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="ledgerscope-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base}/ledgerscope-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stored(df)[0]
+
+
+class Scratch:
+    """Written tables that go when they have served: with drop, or when the block ends.
+
+    Only tables whose readers have been written themselves may go; results are written outside of it.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in [*self.paths.values()]:
+            self._delete(path)
+
+    def write(self, df: DataFrame) -> DataFrame:
+        table, path = _stored(df)
+        self.paths[id(table)] = path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            self._delete(self.paths.pop(id(table)))
+
+    def _delete(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str | list[str], by: str | list[str], how: str, salts: int = 16) -> DataFrame:

@@ -1,19 +1,21 @@
 """N-gram Jaccard join over a token-group matrix: every link counts, the result is connected components.
 
-Tokens. A document is a set of word shingles. Its tokens in the matrix are hashes of buckets of shingles: the
-hash space is cut into so many buckets that a similar set, which differs in few shingles, has an equal
-bucket for certain. There are about a fifth as many as shingles (at a similarity of 0.9), they are rare where
-a single shingle of a common passage is frequent, and no link can be missed.
+Tokens. A document is a set of n word shingles. Sets with a similarity of t or more share ceil(t n) shingles at least,
+so they share one of the first n - ceil(t n) + 1 in any order that all sets use. The order is by rising frequency, as
+counted over all documents in a table of fixed size (CELLS counters of hashed shingles): a document's
+tokens in the matrix are its rarest shingles, a tenth at 0.9 and a fifth at 0.8. The counts decide how much is
+opened, never what is linked.
 
 Groups. Documents that share a token get the smallest set they meet as a label; labels are cut into groups
-of `group` documents at most. The matrix has a row for each token in the union of a group's tokens; a query
-document's overlap with a group bounds its similarity to all members, and only pairs of groups with enough
-overlap (one shared token) are opened. In an open pair the bound is taken again over the unions of
-shingles, then what is left is verified exactly.
+bounded in documents and in shingles. The matrix has a row for each token in the union of a group's tokens. A
+query document's overlap with a group's union bounds its similarity to all members: a pair of groups is opened
+for those of its documents that share a token with the other group. In an open pair the bound is taken again
+over the unions of all shingles, then what is left is verified exactly.
 
 Rounds. First each group is opened with itself and with the smallest group of each of its tokens, which links
-groups of copies without trying all pairs. Then components are formed, and only tokens whose documents are
-still in different components open further pairs. Components come from contraction of the links.
+groups of copies without trying all pairs. Then components are formed. Only tokens whose documents are still in
+different components open further pairs of groups, and of these only pairs that weren't open before, aren't
+connected yet, and hold sets of sizes that can be similar. Components come from contraction of the links.
 
 Equal sets are one set throughout. Small rows shuffle (token, set); texts only for sets that share a token.
 """
@@ -21,80 +23,38 @@ Equal sets are one set throughout. Small rows shuffle (token, set); texts only f
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, checkpointed, salted_join, split_by, written
+from .common import ROW, Scratch, bitmap, packed, salted_join, split_by, written
 from .wordhash import mixed, shingles, word_hashes
 
-GROUP = 4096
+GROUP = 4096  # sets in a group, at most
+GROUP_SHINGLES = 1 << 20  # shingles in a group, at most (or one set)
+BATCH_SHINGLES = 1 << 19  # shingles opened in a task's batch, about
 BLOCK = 512  # sets on a side of one product
-SAMPLE_DOCS = 5000  # documents that frequent shingles are learned from
-PAIRS_ROWS = 2000  # documents opened in a task's batch
-FLUSH = 1 << 19
+FLUSH = 1 << 18  # tokens in a batch of rows
 
-WIDTH = 3  # an interval of set sizes spans this power of 1 / threshold
+CELL_BITS, SLICES, FAN_IN = 20, 64, 64  # counters of hashed shingles; parts of their table; tables added up in a task
+CELLS = 1 << CELL_BITS
 
 
-@lru_cache(None)
-def _edges(k: int) -> np.ndarray:
-    return np.array([(j << 64) // k for j in range(1, k)], np.uint64)
+def signatures(tokens: np.ndarray, num: int, den: int, order: np.ndarray | None = None) -> np.ndarray:
+    """The shingles of a set (sorted, distinct) that come first in the order of all sets: similar sets share one at least."""
+    first = len(tokens) + (-len(tokens) * num) // den + 1
+    if order is None:
+        return tokens[:first]
+    return tokens[np.argsort(order[_cell(tokens)], kind="stable")[:first]]
 
 
-@lru_cache(None)
-def _plan(low: int, most: int, num: int, den: int) -> tuple[int, int]:
-    """(buckets, differences allowed) for sets of `low` tokens or more and pairs of `most` tokens together.
-
-    Sets of a + b tokens with a Jaccard similarity of num / den differ in (den - num)(a + b) / (den + num) tokens
-    at most. With one bucket more than that, one bucket at least is equal; some more make up for empty ones.
-    """
-    d = (den - num) * most // (den + num)
-    k = d + 1
-    for _ in range(8):
-        p = math.exp(-low / k)
-        k = d + 1 + (math.ceil(k * p + 3 * math.sqrt(k * p)) if d else 0)
-    return k, d
-
-
-@lru_cache(None)
-def tags(n: int, num: int, den: int) -> tuple[tuple[int, int, int], ...]:
-    """(tag, buckets, differences) for a set of n tokens: its interval of sizes, and the borders that a partner may be across."""
-    low = 1
-    while True:
-        high = max(low + 1, -(-low * den**WIDTH // num**WIDTH))
-        if n < high:
-            break
-        low = high
-    out = [(2 * low, *_plan(low, 2 * (high - 1), num, den))]
-    for border in (low, high):
-        below = border - 1
-        near = n * num <= below * den if border == low else n * den >= border * num
-        if below and near:
-            out.append((2 * border + 1, *_plan(max(1, -(-border * num // den)), below + below * den // num, num, den)))
-    return tuple(out)
-
-
-def signatures(tokens: np.ndarray, num: int, den: int, n: int | None = None) -> np.ndarray:
-    """Hashes of the buckets of a set (sorted, distinct): similar sets share one at least.
-
-    tokens may leave out any fixed list of shingles from sets of n: what is left differs no more than the sets do.
-    """
-    sums = np.zeros(len(tokens) + 1, np.uint64)
-    np.cumsum(mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1:], dtype=np.uint64)
-    out = []
-    for tag, k, d in tags(len(tokens) if n is None else n, num, den):
-        cut = np.concatenate([[0], np.searchsorted(tokens, _edges(k)), [len(tokens)]])
-        filled = cut[1:] > cut[:-1]
-        sig = mixed((sums[cut[1:]] - sums[cut[:-1]]) + np.arange(k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tag << 40))
-        # An equal bucket that isn't empty is certain unless too many are empty; then those count too.
-        out.append(sig[filled] if k - int(filled.sum()) < k - d else sig)
-    return np.concatenate(out)
+def _cell(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def _sets(texts: list[str], size: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -104,79 +64,97 @@ def _sets(texts: list[str], size: int) -> Iterator[tuple[np.ndarray, int]]:
         yield tokens, int(mixed(np.array([mixed(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))])).view(np.int64)[0])
 
 
+_FACTS = "doc_id long, rid long, n long, fp long, slice int, part int, cells binary"
+
+
 def _describe(size: int):
+    """A row for each document, and at the end of a partition rows with the counts of its shingles, each set once."""
+
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, seen = np.zeros(CELLS, np.int64), set()
         for b in batches:
-            found = [(len(tokens), fp) for tokens, fp in _sets(b["text"].tolist(), size)]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "rid": b["rid"], "n": [n for n, _ in found], "fp": [fp for _, fp in found]})
+            found, fresh = [], []
+            for tokens, fp in _sets(b["text"].tolist(), size):
+                found.append((len(tokens), fp))
+                if fp not in seen:
+                    seen.add(fp)
+                    fresh.append(tokens)
+            counts += np.bincount(_cell(np.concatenate(fresh)), minlength=CELLS) if fresh else 0
+            yield pd.DataFrame({
+                "doc_id": b["doc_id"], "rid": b["rid"], "n": [n for n, _ in found], "fp": [fp for _, fp in found], "slice": None, "part": None, "cells": None,
+            })
+        if counts.any():
+            part, width = TaskContext.get().partitionId(), CELLS // SLICES
+            yield pd.DataFrame([
+                (None, None, None, None, i, part, zlib.compress(counts[i * width : (i + 1) * width].tobytes(), 1)) for i in range(SLICES)
+            ], columns=["doc_id", "rid", "n", "fp", "slice", "part", "cells"])
 
     return emit
 
 
-def frequent_shingles(docs: DataFrame, size: int, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
-    """Shingles of common passages, from a bounded sample: those in 10 documents or more of it, so a list of bounded length.
+def _counts(cells: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(cells), np.int64)
 
-    The index leaves them out of the buckets, which keeps documents apart that share a passage only. They decide
-    how much is opened, never what is linked: verification reads whole sets.
-    """
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    some = docs.filter(F.pmod(F.xxhash64("rid", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            sets = [tokens for tokens, _ in _sets(b["text"].tolist(), size)]
-            token, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pd.DataFrame({"token": token.view(np.int64), "n": n})
-
-    counts = some.select("text").mapInPandas(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r["token"] for r in counts.filter("n >= 10").select("token").collect()], np.int64).view(np.uint64))
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(CELLS // SLICES, np.int64)
+    for cells in rows["cells"]:
+        total = total + _counts(cells)
+    return pd.DataFrame({"slice": rows["slice"][:1], "part": rows["part"][:1] // FAN_IN, "cells": [zlib.compress(total.tobytes(), 1)]})
 
 
-def _rare(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    if not len(frequent):
-        return tokens
-    return tokens[frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] != tokens]
+def shingle_order(facts: DataFrame) -> np.ndarray:
+    """A level for each counter, higher for frequent ones, from the counts of all partitions, added up FAN_IN at a time.
 
+    What reaches the driver, and every task, has CELLS entries whatever the input.
+    """
+    parts = facts.filter("slice is not null").select("slice", "part", "cells")
+    last = parts.agg(F.max("part")).first()[0] or 0
+    with Scratch(facts.sparkSession) as scratch:
+        while last > 0:
+            parts = parts.groupBy("slice", F.expr(f"part div {FAN_IN}")).applyInPandas(_added, "slice int, part int, cells binary")
+            parts, last = scratch.write(parts), last // FAN_IN
+        counts = np.zeros((SLICES, CELLS // SLICES), np.int64)
+        for row in parts.select("slice", "cells").collect():
+            counts[row["slice"]] = _counts(row["cells"])
+    return np.floor(4 * np.log2(1 + counts.ravel())).astype(np.uint8)
 
-def _tokens(size: int, num: int, den: int, frequent: np.ndarray):
-    """(token, fp, live): each set once in a partition; of sets that share a token here one row stays to be
-    compared with other partitions, so that a frequent token shuffles a few rows only, and all are marked live."""
 
-    def flush(sigs: list[np.ndarray], fps: list[int]) -> pd.DataFrame:
-        token = np.concatenate(sigs)
-        fp = np.repeat(np.array(fps, np.int64), [len(s) for s in sigs])
-        order = np.lexsort((fp, token))
-        token, fp = token[order], fp[order]
-        first = np.diff(token, prepend=~token[:1]) != 0
-        count = np.diff(np.append(np.flatnonzero(first), len(token)))
-        shared = np.repeat(count, count) > 1
-        return pd.DataFrame({
-            "token": np.concatenate([token[first], token[shared]]).view(np.int64), "fp": np.concatenate([fp[first], fp[shared]]),
-            "live": np.repeat([False, True], [int(first.sum()), int(shared.sum())]),
-        })
+def _tokens(size: int, num: int, den: int, order: np.ndarray):
+    """(token, fp, n) of each set, once in a partition."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sigs, fps, held, seen = [], [], 0, set()
+        def rows() -> pd.DataFrame:
+            many = [len(s) for s in sigs]
+            return pd.DataFrame({"token": np.concatenate(sigs).view(np.int64), "fp": np.repeat(fps, many), "n": np.repeat(ns, many)})
+
+        sigs, fps, ns, held, seen = [], [], [], 0, set()
         for b in batches:
             for tokens, fp in _sets(b["text"].tolist(), size):
                 if len(tokens) and fp not in seen:
                     seen.add(fp)
-                    sigs.append(signatures(_rare(tokens, frequent), num, den, len(tokens)))
+                    sigs.append(signatures(tokens, num, den, order))
                     fps.append(fp)
+                    ns.append(len(tokens))
                     held += len(sigs[-1])
                     if held >= FLUSH:
-                        yield flush(sigs, fps)
-                        sigs, fps, held, seen = [], [], 0, set()
+                        yield rows()
+                        sigs, fps, ns, held = [], [], [], 0
         if sigs:
-            yield flush(sigs, fps)
+            yield rows()
 
     return emit
 
 
-def _overlap(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+def _overlap(a: list[np.ndarray], b: list[np.ndarray], same: bool) -> np.ndarray:
     """Sizes of all intersections between two lists of sets, by products of their incidence matrices."""
-    common = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
-    out = np.zeros((len(a), len(b)), np.float32)
+    if same:
+        tokens, n = np.unique(np.concatenate(a), return_counts=True)
+        common = tokens[n > 1]
+        out = np.diag([float(len(s)) for s in a]).astype(np.float32)
+    else:
+        common = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
+        out = np.zeros((len(a), len(b)), np.float32)
 
     def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         at = [np.searchsorted(common, s[np.isin(s, common, assume_unique=True)]) for s in sets]
@@ -230,7 +208,7 @@ def links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None, num:
             ids, others = li[i : i + BLOCK], ri[j : j + BLOCK]
             if len({root(x) for x in (*ids, *others)}) == 1:
                 continue  # all connected by now
-            both = _overlap(a[i : i + BLOCK], b[j : j + BLOCK])
+            both = _overlap(a[i : i + BLOCK], b[j : j + BLOCK], right is None and i == j)
             union = np.array([len(x) for x in a[i : i + BLOCK]])[:, None] + np.array([len(x) for x in b[j : j + BLOCK]])[None, :] - both
             for p, q in zip(*np.nonzero(both * den >= num * union)):
                 x, y = root(ids[p]), root(others[q])
@@ -243,28 +221,34 @@ def links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None, num:
 def _verify(size: int, num: int, den: int):
     def verify(batch: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
-        known = {fp: tokens for (tokens, _), fp in zip(_sets(batch["text"].drop_duplicates().tolist(), size), batch.drop_duplicates("text")["fp"])}
+        once = batch.drop_duplicates("fp")
+        known = {fp: tokens for (tokens, _), fp in zip(_sets(once["text"].tolist(), size), once["fp"])}
         for _, rows in batch.groupby(["g", "h"]):
-            sides = {side: {fp: known[fp] for fp in set(r["fp"]) if fp in known} for side, r in rows.groupby("side")}
-            if len(sides.get(0, ())) + len(sides.get(1, ())) > 1:
-                out += links(sides[0], sides[1] if 1 in sides else None, num, den) if 0 in sides else []
+            sides = {side: {fp: known[fp] for fp in sorted(set(r["fp"]))} for side, r in rows.groupby("side")}
+            if len(sides.get(0, ())) + len(sides.get(1, ())) > 1 and 0 in sides:
+                out += links(sides[0], sides.get(1), num, den)
         return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
     return verify
 
 
-def _open(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Links (x, y) found in pairs (g, h) of groups; texts is (group, fp, text). Pairs of few documents share a task."""
-    n = texts.groupBy("group").agg(F.count("*").alias("n"))
-    rows = pairs.join(n, pairs["g"] == n["group"]).agg(F.sum("n")).first()[0] or 0
-    batch = F.pmod(F.xxhash64("g", "h"), F.lit(max(1, math.ceil(2 * rows / PAIRS_ROWS)))).alias("batch")
-    sides = pairs.select("g", "h", batch, F.col("g").alias("group"), F.lit(0).alias("side")).unionByName(
-        pairs.filter("g <> h").select("g", "h", batch, F.col("h").alias("group"), F.lit(1).alias("side"))
-    )
-    opened = sides.join(texts, "group").select("batch", "g", "h", "side", "fp", "text")
+def _open(members: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Links (x, y) between the members (g, h, side, fp, n) of open pairs of groups; texts is (fp, text). Small pairs share a task."""
+    shingles_ = members.agg(F.sum("n")).first()[0] or 0
+    batch = F.pmod(F.xxhash64("g", "h"), F.lit(max(1, math.ceil(2 * shingles_ / BATCH_SHINGLES)))).alias("batch")
+    opened = members.select(batch, "g", "h", "side", "fp").join(texts, "fp")
     return opened.groupBy("batch").applyInPandas(_verify(size, num, den), "x long, y long")
 
 
+def _members(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """(g, h, side, fp, n): the documents of each pair of groups (token, g, h) that have the token, from places (token, part, fp, n)."""
+    sides = [
+        salted_join(places.withColumnRenamed("part", end), pairs, ["token", end], "fp", "inner").select("g", "h", F.lit(side).alias("side"), "fp", "n")
+        for side, end in enumerate(("g", "h"))
+    ]
+    return sides[0].unionByName(sides[1]).distinct()
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(fp, comp): a representative of each of nodes (fp), the same for all that edges (x, y) connect.
 
@@ -272,79 +256,106 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     root is absorbed by it; the edges then hold roots and what is left. Vertices are hashes, so a few rounds
     do. Every vertex is absorbed once; the rounds' small maps are resolved from the last to the first.
     """
-    edges = checkpointed(edges.select("x", "y").filter("x <> y").distinct())
-    absorbed = []
-    while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        least = checkpointed(both.groupBy("x").agg(F.min("y").alias("y")))
-        roots = least.filter("x < y").select(F.col("x").alias("root"))
-        into = checkpointed(least.filter("y < x").join(roots, F.col("y") == F.col("root")).select(F.col("x").alias("v"), "root"))
-        absorbed.append(into)
-        for end in ("x", "y"):
-            edges = edges.join(into, F.col(end) == F.col("v"), "left").withColumn(end, F.coalesce("root", end)).drop("v", "root")
-        edges = checkpointed(edges.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    final = None
-    for into in reversed(absorbed):
-        if final is not None:
-            later = final.select(F.col("v").alias("at"), F.col("root").alias("last"))
-            here = into.join(later, F.col("root") == F.col("at"), "left").select("v", F.coalesce("last", "root").alias("root"))
-            into = checkpointed(here.unionByName(final))
-        final = into
-    if final is None:
-        return nodes.select("fp", F.col("fp").alias("comp"))
-    return checkpointed(nodes.join(final, nodes["fp"] == final["v"], "left").select("fp", F.coalesce("root", "fp").alias("comp")))
+    with Scratch(nodes.sparkSession) as scratch:
+        edges = scratch.write(edges.select("x", "y").filter("x <> y").distinct())
+        absorbed = []
+        while not edges.isEmpty():
+            both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
+            least = scratch.write(both.groupBy("x").agg(F.min("y").alias("y")))
+            roots = least.filter("x < y").select(F.col("x").alias("root"))
+            into = scratch.write(least.filter("y < x").join(roots, F.col("y") == F.col("root")).select(F.col("x").alias("v"), "root"))
+            absorbed.append(into)
+            for end in ("x", "y"):
+                edges = edges.join(into, F.col(end) == F.col("v"), "left").withColumn(end, F.coalesce("root", end)).drop("v", "root")
+            edges = scratch.write(edges.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+        final = None
+        for into in reversed(absorbed):
+            if final is not None:
+                later = final.select(F.col("v").alias("at"), F.col("root").alias("last"))
+                here = into.join(later, F.col("root") == F.col("at"), "left").select("v", F.coalesce("last", "root").alias("root"))
+                into = scratch.write(here.unionByName(final))
+            final = into
+        if final is None:
+            return nodes.select("fp", F.col("fp").alias("comp"))
+        return written(nodes.join(final, nodes["fp"] == final["v"], "left").select("fp", F.coalesce("root", "fp").alias("comp")))
+
+
+def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (rid, text), each rid once in a partition."""
+    seen: set[int] = set()
+    for b in batches:
+        fresh = ~b["rid"].isin(seen) & ~b["rid"].duplicated()
+        seen.update(b["rid"][fresh].tolist())
+        yield b[fresh]
+
+
+def _grouped(tokens: DataFrame, group: int) -> DataFrame:
+    """(fp, label, group, n): the smallest set that a set shares a token with, cut into groups of bounded size."""
+    label = tokens.groupBy("fp").agg(F.min("centre").alias("label"), F.first("n").alias("n"))
+    sizes = F.greatest(F.ceil(F.count("*") / group), F.ceil(F.sum("n") / GROUP_SHINGLES))
+    many = label.groupBy("label").agg(sizes.alias("cuts")).filter("cuts > 1")
+    cut = F.pmod(F.xxhash64("fp"), F.coalesce("cuts", F.lit(1)))
+    return salted_join(label, many, "label", "fp", "left").select("fp", "label", F.xxhash64("label", cut).alias("group"), "n")
 
 
 def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """(described, labels): docs (doc_id, rid, text) as (doc_id, rid, n, fp), and (fp, comp) of the sets that share tokens."""
-    described = written(docs.mapInPandas(_describe(size), "doc_id long, rid long, n long, fp long"))
-    tokens = docs.select("text").mapInPandas(_tokens(size, num, den, frequent_shingles(docs, size)), "token long, fp long, live boolean")
-    same = W.partitionBy("token")
-    tokens = tokens.withColumn("shared", F.col("live") | (F.min("fp").over(same) != F.max("fp").over(same)))
-    tokens = written(tokens.filter("shared").select("token", "fp").distinct())
-
-    centre = tokens.groupBy("token").agg(F.min("fp").alias("centre"))
-    label = written(tokens.join(centre, "token").groupBy("fp").agg(F.min("centre").alias("label")))
-    many = label.groupBy("label").agg(F.ceil(F.count("*") / group).alias("cuts")).filter("cuts > 1")
-    cut = F.pmod(F.xxhash64("fp"), F.coalesce("cuts", F.lit(1)))
-    grouped = written(label.join(many, "label", "left").select("fp", "label", F.xxhash64("label", cut).alias("group")))
-
-    first = described.filter("n > 0").groupBy("fp").agg(F.min("rid").alias("rid")).join(grouped, "fp")
-    first = written(first.select("rid", "fp", "group"))
-    some, _ = split_by(docs.select("rid", "text"), "rid", bitmap(first, "rid"))
-    texts = written(some.join(first, "rid").select("group", "fp", "text"))
-
-    matrix = written(tokens.join(grouped, "fp").select("token", "group").distinct())
-    own = grouped.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("group").alias("g"), F.col("group").alias("h"))
-    smallest = matrix.groupBy("token").agg(F.min("group").alias("g"))
-    star = matrix.join(smallest, "token").filter("g < group").select("g", F.col("group").alias("h")).distinct()
-    edges = written(_open(own.unionByName(star), texts, size, num, den))
-    labels = components(grouped, edges)
-
-    # What is left: tokens whose sets are in several components. A group's sets in its label's component form one
-    # part, the others another; parts are opened with each other unless both are in one and the same component.
-    of_label = labels.select(F.col("fp").alias("label"), F.col("comp").alias("main"))
-    parts = grouped.join(labels, "fp").join(of_label, "label", "left")
-    parts = written(parts.select("fp", "comp", F.xxhash64("group", F.col("comp").eqNullSafe(F.col("main"))).alias("group"),
-                                 F.when(F.col("comp").eqNullSafe(F.col("main")), F.col("comp")).alias("main")))
-    places = tokens.join(parts, "fp")
-    open_ = places.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    places = written(places.join(open_, "token").select("token", "fp", "group", "main"))
-    # Only documents with such a token are opened again.
-    texts = texts.drop("group").join(places.select("fp", "group").distinct(), "fp")
-    places = places.drop("fp").distinct()
-    right = places.select("token", F.col("group").alias("h"), F.col("main").alias("m"))
-    pairs = places.join(right, "token").filter((F.col("group") <= F.col("h")) & ~F.coalesce(F.col("main") == F.col("m"), F.lit(False)))
-    pairs = written(pairs.select(F.col("group").alias("g"), "h").distinct())
-    more = _open(pairs, texts, size, num, den)
-    more = written(more)
-    return described, labels if more.isEmpty() else components(grouped, edges.unionByName(more))
-
-
-def _placed(docs: DataFrame, text: str, id: str, size: int, threshold: tuple[int, int], group: int) -> tuple[DataFrame, DataFrame]:
+    facts = written(docs.mapInPandas(_describe(size), _FACTS))
+    described = facts.filter("slice is null").select("doc_id", "rid", "n", "fp")
+    with Scratch(docs.sparkSession) as scratch:
+        every = scratch.write(docs.select("text").mapInPandas(_tokens(size, num, den, shingle_order(facts)), "token long, fp long, n int"))
+        shared = every.groupBy("token").agg(F.min("fp").alias("centre"), F.max("fp").alias("far")).filter("centre <> far").select("token", "centre")
+        shared = scratch.write(shared)
+        some, _ = split_by(every, "token", bitmap(shared, "token"))
+        tokens = scratch.write(salted_join(some, shared, "token", "fp", "inner").distinct())
+        scratch.drop(every, shared)
+
+        grouped = scratch.write(_grouped(tokens, group))
+        first = described.filter("n > 0").groupBy("fp").agg(F.min("rid").alias("rid")).join(grouped, "fp")
+        first = scratch.write(first.select("rid", "fp"))
+        some, _ = split_by(docs.select("rid", "text"), "rid", bitmap(first, "rid"))
+        texts = scratch.write(some.mapInPandas(_once, "rid long, text string").join(first, "rid").dropDuplicates(["fp"]).select("fp", "text"))
+
+        places = scratch.write(tokens.join(grouped.select("fp", "group"), "fp").select("token", F.col("group").alias("part"), "fp", "n"))
+        scratch.drop(tokens)
+        several = grouped.groupBy("group").agg(F.count("*").alias("sets")).filter("sets > 1").select("group")
+        own = salted_join(grouped, several, "group", "fp", "inner")
+        own = own.select(F.col("group").alias("g"), F.col("group").alias("h"), F.lit(0).alias("side"), "fp", "n")
+        matrix = scratch.write(places.select("token", "part").distinct())
+        smallest = scratch.write(matrix.groupBy("token").agg(F.min("part").alias("g"), F.max("part").alias("far")).filter("g <> far").select("token", "g"))
+        star = salted_join(matrix.withColumnRenamed("part", "h"), smallest, "token", "h", "inner").filter("g <> h")
+        edges = scratch.write(_open(own.unionByName(_members(star, places)), texts, size, num, den))
+        labels = components(grouped.select("fp"), edges)
+
+        # What is left: tokens whose sets are in several components. A group's sets in its label's component form one
+        # part, the others another. Sets of one group, and of the smallest group of a token, have been compared.
+        of_label = labels.select(F.col("fp").alias("label"), F.col("comp").alias("main"))
+        parts = salted_join(grouped.join(labels, "fp"), of_label, "label", "fp", "left")
+        inside = F.col("comp").eqNullSafe(F.col("main"))
+        parts = scratch.write(parts.select("fp", "comp", "group", inside.alias("inside"), F.when(inside, F.col("comp")).alias("main")))
+        placed = places.drop("part").join(parts, "fp")
+        open_ = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
+        open_ = open_.join(smallest, "token")
+        placed = salted_join(placed, open_, "token", "fp", "inner").filter("group <> g")
+        part = F.xxhash64("group", "inside").alias("part")
+        placed = scratch.write(placed.select("token", part, "group", "main", "fp", "n"))
+        sides = scratch.write(placed.groupBy("token", "part").agg(
+            F.first("group").alias("group"), F.first("main").alias("main"), F.min("n").alias("least"), F.max("n").alias("most")
+        ))
+        names = {"part": "h", "group": "group_h", "main": "main_h", "least": "least_h", "most": "most_h"}
+        pairs = salted_join(sides.withColumnRenamed("part", "g"), sides.withColumnsRenamed(names), "token", "g", "inner")
+        alike = (F.col("most") * den >= F.col("least_h") * num) & (F.col("most_h") * den >= F.col("least") * num)
+        apart = ~F.coalesce(F.col("main") == F.col("main_h"), F.lit(False))
+        pairs = scratch.write(pairs.filter((F.col("group") < F.col("group_h")) & alike & apart).select("token", "g", "h"))
+        more = scratch.write(_open(_members(pairs, placed.select("token", "part", "fp", "n")), texts, size, num, den))
+        labels = labels if more.isEmpty() else components(grouped.select("fp"), edges.unionByName(more))
+        return described, written(labels)
+
+
+def _placed(docs: DataFrame, text: Column, id: Column, size: int, threshold: tuple[int, int], group: int) -> tuple[DataFrame, DataFrame]:
     """Rows with shingles, (doc_id, rid, n, component_id, winner) with the rid that their component keeps, and rows without any, (doc_id, rid, n)."""
     num, den = threshold
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("rid"))
+    rows = docs.select(id.cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(id, text).alias("rid"))
     described, labels = linked_sets(rows, size, num, den, group)
     some = salted_join(described.filter("n > 0"), labels, "fp", "rid", "left").withColumn("comp", F.coalesce("comp", "fp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid"))["rid"]
@@ -363,24 +374,33 @@ def near_duplicates(
     component; null ids count only where there is no other. Repeated rows are in one component. An empty
     table gives an empty one. Ids must cast to long. Sets are told apart by 64-bit hashes.
     """
-    some, alone = _placed(docs, text, id, size, threshold, group)
+    some, alone = _placed(docs, F.col(text), F.col(id), size, threshold, group)
     alone = alone.select("doc_id", "rid", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return some.select("doc_id", "rid", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 
 
 def drop_near_duplicates(
-    docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 5, threshold: tuple[int, int] = (80, 100), group: int = GROUP
+    docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 5, threshold: tuple[int, int] = (80, 100), group: int = GROUP, repeats: bool = True
 ) -> DataFrame:
     """docs with one document of each component, columns as they were.
 
     The one with the smallest id stays, null ids last, then the one with the smallest hash of id and text.
-    Rows that repeat both its id and its text are the same document and stay with it.
+    Rows that repeat both its id and its text are the same document: they stay with it, or one of them does
+    if `repeats` is False. Null texts and texts without words stay. An empty table gives an empty one, very long
+    texts count whole, and columns named like internal ones keep their values.
     """
-    some, _ = _placed(docs, text, id, size, threshold, group)
-    dropped = written(some.filter("rid <> winner").select(F.col("rid").alias("__ls_rid")).distinct())
-    rows = docs.withColumn("__ls_rid", F.xxhash64(F.col(id), F.col(text)))
-    some, rest = split_by(rows, "__ls_rid", bitmap(dropped, "__ls_rid"))
-    return some.join(dropped, "__ls_rid", "left_anti").unionByName(rest).drop("__ls_rid")
+    inner = docs.select(packed(docs), F.col(text).alias("t"), F.col(id).alias("i"), F.xxhash64(F.col(id), F.col(text)).alias("rid"))
+    some, _ = _placed(inner, F.col("t"), F.col("i"), size, threshold, group)
+    places = written(some.select("rid", "winner"))
+    dropped = places.filter("rid <> winner").select("rid").distinct()
+    rows, rest = split_by(inner, "rid", bitmap(dropped, "rid"))
+    kept = rows.join(dropped, "rid", "left_anti").select("rid", ROW).unionByName(rest.select("rid", ROW))
+    if not repeats:
+        again = places.filter("rid = winner").groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").select("rid")
+        rows, rest = split_by(kept, "rid", bitmap(again, "rid"))
+        several = rows.join(again, "rid", "left_semi").groupBy("rid").agg(F.first(ROW).alias(ROW))
+        kept = several.unionByName(rows.join(again, "rid", "left_anti")).unionByName(rest)
+    return kept.select(f"{ROW}.*")
 
 
 ORACLE = r"""
