@@ -140,3 +140,24 @@ def salted_join(left: DataFrame, right: DataFrame, key: str | list[str], by: str
     left = left.withColumn("__ls_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
     right = right.withColumn("__ls_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*key, "__ls_salt"], how).drop("__ls_salt")
+
+
+#: A key with more than one of so many rows is hot, so there are fewer hot keys than that.
+HOT_SHARE = 1000
+
+
+def hot_keys(df: DataFrame, key: str) -> list:
+    """The hot keys of a written table."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    return [row[0] for row in counts.filter(F.col("n") * HOT_SHARE > df.count()).select(key).collect()]
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, by: str, hot: list, how: str = "inner", salts: int = 32) -> DataFrame:
+    """left joined with right on key; hot keys of left spread by a hash of its column `by`, the others join as they are."""
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    left = left.withColumn("__ls_salt", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).otherwise(0))
+    every = F.sequence(F.lit(0), F.when(is_hot, salts - 1).otherwise(0))
+    right = right.withColumn("__ls_salt", F.explode(every))
+    return left.join(right, [key, "__ls_salt"], how).drop("__ls_salt")

@@ -1,23 +1,22 @@
 """N-gram Jaccard join over a token-group matrix: every link counts, the result is connected components.
 
-Tokens. A document is a set of n word shingles. Sets with a similarity of t or more share ceil(t n) shingles at least,
-so they share one of the first n - ceil(t n) + 1 in any order that all sets use. The order is by rising frequency, as
-counted over all documents in a table of fixed size (CELLS counters of hashed shingles): a document's
-tokens in the matrix are its rarest shingles, a tenth at 0.9 and a fifth at 0.8. The counts decide how much is
-opened, never what is linked.
-
-Groups. Documents that share a token get the smallest set they meet as a label; labels are cut into groups
-bounded in documents and in shingles. The matrix has a row for each token in the union of a group's tokens. A
-query document's overlap with a group's union bounds its similarity to all members: a pair of groups is opened
-for those of its documents that share a token with the other group. In an open pair the bound is taken again
-over the unions of all shingles, then what is left is verified exactly.
-
-Rounds. First each group is opened with itself and with the smallest group of each of its tokens, which links
-groups of copies without trying all pairs. Then components are formed. Only tokens whose documents are still in
-different components open further pairs of groups, and of these only pairs that weren't open before, aren't
-connected yet, and hold sets of sizes that can be similar. Components come from contraction of the links.
-
-Equal sets are one set throughout. Small rows shuffle (token, set); texts only for sets that share a token.
+Tokens. A document is a set of n word shingles. Sets with a similarity of t or more share ceil(t n) shingles at least, so
+for any k up to that they share k of the first n - ceil(t n) + k in any order that all sets use. The order is by rising
+frequency, as counted over all documents in a table of fixed size (CELLS counters of hashed shingles); k is a
+fortieth of n. So a document's tokens in the matrix are its rarest shingles (a fifth of them at 0.8), and one that
+shares too few of them with others has no link. The counts decide how much is opened, never what is linked.
+
+Groups. Documents that overlap enough with the smallest set on one of their tokens take that set as their label; labels
+are cut into groups bounded in documents and in shingles. Each group is opened with itself, and with the first
+group of its label, which links groups of copies without trying all pairs. In the next step the documents of a
+group that are connected to its label stand for one group over all cuts, the others of it for another.
+
+Matrix. A row for each token in the union of a group's tokens. A query document's overlap with a group's union bounds
+its overlap with each member: it qualifies if they share enough tokens. A pair of groups is opened for documents that
+qualify, and only if both sides have some. In an open pair the bound is taken again over the unions of all
+shingles, then what is left is verified exactly. Components come from contraction of the links.
+
+Equal sets are one set throughout. Small rows shuffle (token, set); texts only for sets that share enough tokens.
 """
 
 from __future__ import annotations
@@ -32,12 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, bitmap, packed, salted_join, split_by, written
+from .common import HOT_SHARE, ROW, Scratch, bitmap, hot_join, hot_keys, packed, split_by, written
 from .wordhash import mixed, shingles, word_hashes
 
 GROUP = 4096  # sets in a group, at most
 GROUP_SHINGLES = 1 << 20  # shingles in a group, at most (or one set)
 BATCH_SHINGLES = 1 << 19  # shingles opened in a task's batch, about
+EXTRA = 40  # one more token, and one more to share, for so many shingles
 BLOCK = 512  # sets on a side of one product
 FLUSH = 1 << 18  # tokens in a batch of rows
 
@@ -45,9 +45,17 @@ CELL_BITS, SLICES, FAN_IN = 20, 64, 64  # counters of hashed shingles; parts of
 CELLS = 1 << CELL_BITS
 
 
+def _shared(n, num: int, den: int):
+    """How many of their tokens similar sets have in common at least, the smaller of n shingles; for numbers and columns alike."""
+    least = F.least if isinstance(n, Column) else min
+    whole = (lambda a, b: F.floor(a / b)) if isinstance(n, Column) else (lambda a, b: a // b)
+    return least(1 + whole(n, EXTRA), whole(n * num + den - 1, den))
+
+
 def signatures(tokens: np.ndarray, num: int, den: int, order: np.ndarray | None = None) -> np.ndarray:
-    """The shingles of a set (sorted, distinct) that come first in the order of all sets: similar sets share one at least."""
-    first = len(tokens) + (-len(tokens) * num) // den + 1
+    """The tokens of a set (sorted, distinct): its shingles that come first in the order of all sets."""
+    n = len(tokens)
+    first = n + (-n * num) // den + _shared(n, num, den)
     if order is None:
         return tokens[:first]
     return tokens[np.argsort(order[_cell(tokens)], kind="stable")[:first]]
@@ -71,18 +79,23 @@ def _describe(size: int):
     """A row for each document, and at the end of a partition rows with the counts of its shingles, each set once."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, seen = np.zeros(CELLS, np.int64), set()
+        counts, seen, fresh, held = np.zeros(CELLS, np.int64), set(), [], 0
         for b in batches:
-            found, fresh = [], []
+            found = []
             for tokens, fp in _sets(b["text"].tolist(), size):
                 found.append((len(tokens), fp))
                 if fp not in seen:
                     seen.add(fp)
-                    fresh.append(tokens)
-            counts += np.bincount(_cell(np.concatenate(fresh)), minlength=CELLS) if fresh else 0
+                    fresh.append(_cell(tokens))
+                    held += len(tokens)
+                if held >= FLUSH:
+                    np.add.at(counts, np.concatenate(fresh), 1)
+                    fresh, held = [], 0
             yield pd.DataFrame({
                 "doc_id": b["doc_id"], "rid": b["rid"], "n": [n for n, _ in found], "fp": [fp for _, fp in found], "slice": None, "part": None, "cells": None,
             })
+        if fresh:
+            np.add.at(counts, np.concatenate(fresh), 1)
         if counts.any():
             part, width = TaskContext.get().partitionId(), CELLS // SLICES
             yield pd.DataFrame([
@@ -223,7 +236,7 @@ def _verify(size: int, num: int, den: int):
         out: list[tuple[int, int]] = []
         once = batch.drop_duplicates("fp")
         known = {fp: tokens for (tokens, _), fp in zip(_sets(once["text"].tolist(), size), once["fp"])}
-        for _, rows in batch.groupby(["g", "h"]):
+        for _, rows in batch.groupby("pair"):
             sides = {side: {fp: known[fp] for fp in sorted(set(r["fp"]))} for side, r in rows.groupby("side")}
             if len(sides.get(0, ())) + len(sides.get(1, ())) > 1 and 0 in sides:
                 out += links(sides[0], sides.get(1), num, den)
@@ -233,20 +246,20 @@ def _verify(size: int, num: int, den: int):
 
 
 def _open(members: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Links (x, y) between the members (g, h, side, fp, n) of open pairs of groups; texts is (fp, text). Small pairs share a task."""
+    """Links (x, y) between the members (pair, side, fp, n) of open pairs of groups; texts is (fp, text). Small pairs share a task."""
     shingles_ = members.agg(F.sum("n")).first()[0] or 0
-    batch = F.pmod(F.xxhash64("g", "h"), F.lit(max(1, math.ceil(2 * shingles_ / BATCH_SHINGLES)))).alias("batch")
-    opened = members.select(batch, "g", "h", "side", "fp").join(texts, "fp")
+    batch = F.pmod(F.xxhash64("pair"), F.lit(max(1, math.ceil(shingles_ / BATCH_SHINGLES)))).alias("batch")
+    opened = members.select(batch, "pair", "side", "fp").join(texts, "fp")
     return opened.groupBy("batch").applyInPandas(_verify(size, num, den), "x long, y long")
 
 
-def _members(pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """(g, h, side, fp, n): the documents of each pair of groups (token, g, h) that have the token, from places (token, part, fp, n)."""
-    sides = [
-        salted_join(places.withColumnRenamed("part", end), pairs, ["token", end], "fp", "inner").select("g", "h", F.lit(side).alias("side"), "fp", "n")
-        for side, end in enumerate(("g", "h"))
-    ]
-    return sides[0].unionByName(sides[1]).distinct()
+def _cuts(group: int) -> Column:
+    """Into how many parts rows (fp, n) of a group go, so that each is bounded."""
+    return F.greatest(F.ceil(F.count("*") / group), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("int").alias("cuts")
+
+
+def _part(cuts: Column) -> Column:
+    return F.pmod(F.xxhash64("fp"), cuts).cast("int")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -276,7 +289,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                 into = scratch.write(here.unionByName(final))
             final = into
         if final is None:
-            return nodes.select("fp", F.col("fp").alias("comp"))
+            return written(nodes.select("fp", F.col("fp").alias("comp")))
         return written(nodes.join(final, nodes["fp"] == final["v"], "left").select("fp", F.coalesce("root", "fp").alias("comp")))
 
 
@@ -289,67 +302,101 @@ def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b[fresh]
 
 
-def _grouped(tokens: DataFrame, group: int) -> DataFrame:
-    """(fp, label, group, n): the smallest set that a set shares a token with, cut into groups of bounded size."""
-    label = tokens.groupBy("fp").agg(F.min("centre").alias("label"), F.first("n").alias("n"))
-    sizes = F.greatest(F.ceil(F.count("*") / group), F.ceil(F.sum("n") / GROUP_SHINGLES))
-    many = label.groupBy("label").agg(sizes.alias("cuts")).filter("cuts > 1")
-    cut = F.pmod(F.xxhash64("fp"), F.coalesce("cuts", F.lit(1)))
-    return salted_join(label, many, "label", "fp", "left").select("fp", "label", F.xxhash64("label", cut).alias("group"), "n")
+def _matrix(every: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(token, fp, n, centre): the tokens that several sets have, for sets with enough of them, and the smallest set on each."""
+    enough = F.col("held") >= _shared(F.ceil(F.col("n") * num / den), num, den)
+    counts = scratch.write(every.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1"))
+    total = counts.agg(F.sum("sets")).first()[0] or 0
+    hot = [r["token"] for r in counts.filter(F.col("sets") * HOT_SHARE > total).collect()]
+    some, _ = split_by(every, "token", bitmap(counts, "token"))
+    tokens = scratch.write(hot_join(some, counts.select("token"), "token", "fp", hot).distinct())
+    scratch.drop(every, counts)
+    for _ in range(2):  # sets without enough tokens leave, then tokens that one set is left on
+        centres = tokens.groupBy("token").agg(F.min("fp").alias("centre"), F.max("fp").alias("far")).filter("centre <> far").select("token", "centre")
+        placed = scratch.write(hot_join(tokens, centres, "token", "fp", hot))
+        stay = placed.groupBy("fp").agg(F.count("*").alias("held"), F.first("n").alias("n")).filter(enough).select("fp")
+        scratch.drop(tokens)
+        tokens = scratch.write(placed.join(stay, "fp").select("token", "fp", "n"))
+        scratch.drop(placed)
+    centres = tokens.groupBy("token").agg(F.min("fp").alias("centre"))
+    return scratch.write(hot_join(tokens, centres, "token", "fp", hot))
+
+
+def _first_members(matrix: DataFrame, num: int, den: int, group: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(fp, label, part, n) of all sets in the matrix, and the members (pair, side, fp, n) of each group with itself and of a label's groups with its first."""
+    enough = F.col("held") >= _shared(F.ceil(F.col("n") * num / den), num, den)
+    near = matrix.groupBy("fp", "centre").agg(F.count("*").alias("held"), F.first("n").alias("n")).withColumn("near", enough)
+    label = near.groupBy("fp").agg(F.min(F.when(F.col("near"), F.col("centre"))).alias("label"), F.first("n").alias("n"))
+    label = scratch.write(label.select("fp", F.coalesce("label", "fp").alias("label"), "n"))
+    sizes = label.groupBy("label").agg(F.count("*").alias("sets"), _cuts(group))
+    every = scratch.write(hot_join(label, sizes, "label", "fp", hot_keys(label, "label")).withColumn("part", _part(F.col("cuts"))))
+    grouped = every.filter("sets > 1")
+    pair = lambda part: F.xxhash64("label", part)
+    own = grouped.select(pair("part").alias("pair"), F.lit(0).alias("side"), "fp", "n")
+    others = grouped.filter("part > 0").select(F.xxhash64("label", F.lit(0), "part").alias("pair"), F.lit(1).alias("side"), "fp", "n")
+    of_first = grouped.filter("part = 0 and cuts > 1").withColumn("other", F.explode(F.expr("sequence(1, cuts - 1)")))
+    of_first = of_first.select(F.xxhash64("label", F.lit(0), "other").alias("pair"), F.lit(0).alias("side"), "fp", "n")
+    return every.select("fp", "label", "part", "n"), own.unionByName(of_first).unionByName(others)
+
+
+def _units(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(fp, comp, unit, done): the groups of the second step, and the units that a set has been compared with or is connected to.
+
+    Sets of a group in the component of its label are a unit over all groups with that component, the others of
+    the group another one. Within a group all sets have been compared.
+    """
+    rest = F.xxhash64(F.lit(1), "label", "part")
+    core = lambda comp: F.xxhash64(F.lit(0), comp)
+    main = labels.select(F.col("fp").alias("label"), F.col("comp").alias("main"))
+    placed = hot_join(sets.join(labels, "fp"), main, "label", "fp", hot_keys(sets, "label"))
+    inside = placed.filter("comp = main").groupBy("main").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.min("label").alias("c"), F.max("label").alias("d"))
+    single = inside.filter("a = b and c = d").select(F.col("c").alias("label"), F.col("a").alias("part"), F.lit(True).alias("whole"))
+    placed = placed.join(single, ["label", "part"], "left")  # groups that hold their label's component whole
+    unit = F.when(F.col("comp") == F.col("main"), core("main")).otherwise(rest)
+    return placed.select("fp", "comp", unit.alias("unit"), F.array(unit, rest, core("comp"), F.when(F.col("whole"), core("main"))).alias("done"))
+
+
+def _next_members(matrix: DataFrame, sets: DataFrame, labels: DataFrame, num: int, den: int, group: int, scratch: Scratch) -> DataFrame:
+    """The members (pair, side, fp, n) of pairs of units: documents that qualify by their overlap with the other's union."""
+    placed = matrix.select("token", "fp", "n").join(scratch.write(_units(sets, labels)), "fp")
+    open_ = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
+    placed = scratch.write(placed.join(open_, "token"))
+    unions = placed.select("token", F.col("unit").alias("other")).distinct()
+    met = hot_join(placed, unions, "token", "fp", hot_keys(placed, "token")).filter(~F.coalesce(F.array_contains("done", F.col("other")), F.lit(False)))
+    met = met.groupBy("fp", "unit", "other").agg(F.count("*").alias("held"), F.first("n").alias("n"))
+    met = met.filter(F.col("held") >= _shared(F.ceil(F.col("n") * num / den), num, den))
+    side = (F.col("unit") > F.col("other")).cast("int").alias("side")
+    met = scratch.write(met.select(F.least("unit", "other").alias("lo"), F.greatest("unit", "other").alias("hi"), side, "fp", "n"))
+    sides = met.groupBy("lo", "hi", "side").agg(_cuts(group)).groupBy("lo", "hi").agg(
+        F.max(F.when(F.col("side") == 0, F.col("cuts"))).alias("cuts0"), F.max(F.when(F.col("side") == 1, F.col("cuts"))).alias("cuts1")
+    ).filter("cuts0 is not null and cuts1 is not null")
+    met = met.join(sides, ["lo", "hi"]).withColumn("own", _part(F.when(F.col("side") == 0, F.col("cuts0")).otherwise(F.col("cuts1"))))
+    met = met.withColumn("other", F.explode(F.expr("sequence(0, if(side = 0, cuts1, cuts0) - 1)")))
+    places = [F.when(F.col("side") == s, F.col("own")).otherwise(F.col("other")) for s in (0, 1)]
+    return scratch.write(met.select(F.xxhash64("lo", "hi", *places).alias("pair"), "side", "fp", "n"))
 
 
 def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
-    """(described, labels): docs (doc_id, rid, text) as (doc_id, rid, n, fp), and (fp, comp) of the sets that share tokens."""
+    """(described, labels): docs (doc_id, rid, text) as (doc_id, rid, n, fp), and (fp, comp) of the sets that share enough tokens."""
     facts = written(docs.mapInPandas(_describe(size), _FACTS))
     described = facts.filter("slice is null").select("doc_id", "rid", "n", "fp")
     with Scratch(docs.sparkSession) as scratch:
         every = scratch.write(docs.select("text").mapInPandas(_tokens(size, num, den, shingle_order(facts)), "token long, fp long, n int"))
-        shared = every.groupBy("token").agg(F.min("fp").alias("centre"), F.max("fp").alias("far")).filter("centre <> far").select("token", "centre")
-        shared = scratch.write(shared)
-        some, _ = split_by(every, "token", bitmap(shared, "token"))
-        tokens = scratch.write(salted_join(some, shared, "token", "fp", "inner").distinct())
-        scratch.drop(every, shared)
-
-        grouped = scratch.write(_grouped(tokens, group))
-        first = described.filter("n > 0").groupBy("fp").agg(F.min("rid").alias("rid")).join(grouped, "fp")
+        matrix = _matrix(every, num, den, scratch)
+        sets, members = _first_members(matrix, num, den, group, scratch)
+
+        first = described.filter("n > 0").groupBy("fp").agg(F.min("rid").alias("rid")).join(sets, "fp")
         first = scratch.write(first.select("rid", "fp"))
         some, _ = split_by(docs.select("rid", "text"), "rid", bitmap(first, "rid"))
-        texts = scratch.write(some.mapInPandas(_once, "rid long, text string").join(first, "rid").dropDuplicates(["fp"]).select("fp", "text"))
+        # Rows that repeat id and text meet as one row a partition.
+        texts = scratch.write(some.mapInPandas(_once, "rid long, text string").join(first, "rid").select("fp", "text").dropDuplicates(["fp"]))
 
-        places = scratch.write(tokens.join(grouped.select("fp", "group"), "fp").select("token", F.col("group").alias("part"), "fp", "n"))
-        scratch.drop(tokens)
-        several = grouped.groupBy("group").agg(F.count("*").alias("sets")).filter("sets > 1").select("group")
-        own = salted_join(grouped, several, "group", "fp", "inner")
-        own = own.select(F.col("group").alias("g"), F.col("group").alias("h"), F.lit(0).alias("side"), "fp", "n")
-        matrix = scratch.write(places.select("token", "part").distinct())
-        smallest = scratch.write(matrix.groupBy("token").agg(F.min("part").alias("g"), F.max("part").alias("far")).filter("g <> far").select("token", "g"))
-        star = salted_join(matrix.withColumnRenamed("part", "h"), smallest, "token", "h", "inner").filter("g <> h")
-        edges = scratch.write(_open(own.unionByName(_members(star, places)), texts, size, num, den))
-        labels = components(grouped.select("fp"), edges)
-
-        # What is left: tokens whose sets are in several components. A group's sets in its label's component form one
-        # part, the others another. Sets of one group, and of the smallest group of a token, have been compared.
-        of_label = labels.select(F.col("fp").alias("label"), F.col("comp").alias("main"))
-        parts = salted_join(grouped.join(labels, "fp"), of_label, "label", "fp", "left")
-        inside = F.col("comp").eqNullSafe(F.col("main"))
-        parts = scratch.write(parts.select("fp", "comp", "group", inside.alias("inside"), F.when(inside, F.col("comp")).alias("main")))
-        placed = places.drop("part").join(parts, "fp")
-        open_ = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-        open_ = open_.join(smallest, "token")
-        placed = salted_join(placed, open_, "token", "fp", "inner").filter("group <> g")
-        part = F.xxhash64("group", "inside").alias("part")
-        placed = scratch.write(placed.select("token", part, "group", "main", "fp", "n"))
-        sides = scratch.write(placed.groupBy("token", "part").agg(
-            F.first("group").alias("group"), F.first("main").alias("main"), F.min("n").alias("least"), F.max("n").alias("most")
-        ))
-        names = {"part": "h", "group": "group_h", "main": "main_h", "least": "least_h", "most": "most_h"}
-        pairs = salted_join(sides.withColumnRenamed("part", "g"), sides.withColumnsRenamed(names), "token", "g", "inner")
-        alike = (F.col("most") * den >= F.col("least_h") * num) & (F.col("most_h") * den >= F.col("least") * num)
-        apart = ~F.coalesce(F.col("main") == F.col("main_h"), F.lit(False))
-        pairs = scratch.write(pairs.filter((F.col("group") < F.col("group_h")) & alike & apart).select("token", "g", "h"))
-        more = scratch.write(_open(_members(pairs, placed.select("token", "part", "fp", "n")), texts, size, num, den))
-        labels = labels if more.isEmpty() else components(grouped.select("fp"), edges.unionByName(more))
-        return described, written(labels)
+        edges = scratch.write(_open(members, texts, size, num, den))
+        labels = components(sets.select("fp"), edges)
+        more = scratch.write(_open(_next_members(matrix, sets, labels, num, den, group, scratch), texts, size, num, den))
+        if not more.isEmpty():
+            labels = components(sets.select("fp"), edges.unionByName(more))
+        return described, labels
 
 
 def _placed(docs: DataFrame, text: Column, id: Column, size: int, threshold: tuple[int, int], group: int) -> tuple[DataFrame, DataFrame]:
@@ -357,10 +404,12 @@ def _placed(docs: DataFrame, text: Column, id: Column, size: int, threshold: tup
     num, den = threshold
     rows = docs.select(id.cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(id, text).alias("rid"))
     described, labels = linked_sets(rows, size, num, den, group)
-    some = salted_join(described.filter("n > 0"), labels, "fp", "rid", "left").withColumn("comp", F.coalesce("comp", "fp"))
+    some = described.filter("n > 0")
+    some = hot_join(some, labels, "fp", "rid", hot_keys(some, "fp"), "left").withColumn("comp", F.coalesce("comp", "fp"))
+    some = written(some.select("doc_id", "rid", "n", "comp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid"))["rid"]
     smallest = some.groupBy("comp").agg(F.min("doc_id").alias("component_id"), first.alias("winner"))
-    return salted_join(some, smallest, "comp", "rid", "inner"), described.filter("n = 0").select("doc_id", "rid", "n")
+    return hot_join(some, smallest, "comp", "rid", hot_keys(some, "comp")), described.filter("n = 0").select("doc_id", "rid", "n")
 
 
 def near_duplicates(

@@ -35,7 +35,7 @@ QUANTILE, PART, LEAST = 0.01, 0.5, 20
 CLASSES, BINS = 8, 200
 _PREFIXES = (1, 2, 4, 8, 16, 32, 64)
 
-_CHUNK_CHARS, _CHUNK_DOCS, _SLICE = 1 << 20, 256, 4096
+_CHUNK_CHARS, _CHUNK_DOCS, _SLICE, _ROWS = 1 << 19, 256, 4096, 1024
 _letters: dict[int, np.ndarray] = {}
 _bmp: list[np.ndarray] = []
 
@@ -73,7 +73,7 @@ def _bundle(owners: list[int], pieces: list[str], n: int, dimensions: int, out:
     valid = (row[2:] == row[:-2]) & (points[1:-1] != 0)
     gram = (code[:-2] * a + code[1:-1]) * a + code[2:]
     gram, row = gram[valid], row[:-2][valid]
-    if a**3 <= 1 << 22:
+    if a**3 <= 1 << 20:
         seen = np.bincount(gram, minlength=a**3) > 0
         used = np.flatnonzero(seen)
         index = (np.cumsum(seen) - 1)[gram]
@@ -152,9 +152,11 @@ def learn(labelled: DataFrame, text: str, lang: str, id: str, dimensions: int =
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            scaled = np.rint(_unit(profiles(batch["text"].tolist(), dimensions)) * 1e6).astype(np.int64)
-            for name, rows in batch.groupby("lang").indices.items():
-                total[name] = total.get(name, 0) + scaled[rows].sum(0)
+            for at in range(0, len(batch), _ROWS):
+                part = batch[at : at + _ROWS]
+                scaled = np.rint(_unit(profiles(part["text"].tolist(), dimensions)) * 1e6).astype(np.int64)
+                for name, rows in part.groupby("lang").indices.items():
+                    total[name] = total.get(name, 0) + scaled[rows].sum(0)
         if total:
             yield pd.DataFrame({"lang": list(total), "v": [v.tolist() for v in total.values()]})
 
@@ -211,9 +213,8 @@ def predictor(names: list[str], protos: np.ndarray, dimensions: int = DIMENSIONS
     """A vectorised function from texts to (lang, score, known): known texts have letters and a score that reaches their limit."""
     least = np.zeros(CLASSES) if limits is None else limits
 
-    @F.pandas_udf("lang string, score double, known boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        vectors, distinct = profiles_and_distinct([t if isinstance(t, str) else None for t in texts], dimensions)
+    def answer(texts: list[str | None]) -> pd.DataFrame:
+        vectors, distinct = profiles_and_distinct(texts, dimensions)
         some = (vectors != 0).any(1)
         if not names:
             return pd.DataFrame({"lang": [UNKNOWN] * len(texts), "score": 0.0, "known": some})
@@ -224,6 +225,12 @@ def predictor(names: list[str], protos: np.ndarray, dimensions: int = DIMENSIONS
             "lang": np.where(some, np.array(names, object)[best], UNKNOWN), "score": score, "known": some & (score >= least[_class(distinct)]),
         })
 
+    @F.pandas_udf("lang string, score double, known boolean")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        # A slice at a time: a batch's vectors would take more memory than its texts.
+        parts = [answer([t if isinstance(t, str) else None for t in texts[at : at + _ROWS]]) for at in range(0, max(1, len(texts)), _ROWS)]
+        return pd.concat(parts, ignore_index=True)
+
     return predict
 
 
