@@ -70,6 +70,6 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "pipeline": corpus_pipeline.ORACLE_SQL, "op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE,
         "op4_exact_dedup": exact_dedup.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_url_filter": url_filter.ORACLE,
-        "op10_substring_dedup": substring_dedup.ORACLE,
+        "op9_secrets": secrets.ORACLE, "op10_substring_dedup": substring_dedup.ORACLE,
     }
     return {name: text for name, text in sql.items() if text}
