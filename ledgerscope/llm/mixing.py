@@ -23,6 +23,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # of all words, as a fraction: 150 %
 MOST = 2  # copies of a document, and times a source's size
 SALTS = 64
+BROADCAST_ROWS = 1 << 16  # strata, of some 100 bytes each
 SEED = "mix-1"
 
 
@@ -73,6 +74,7 @@ def mix(
     key = ["source", "class", "salt"]
     # A small table that three things are read from: without a cut each would count all words again.
     strata = checkpointed(rows.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words")))
+    n_strata = strata.count()
     before = F.sum("n").over(W.partitionBy("source").orderBy("class", "salt")) - F.col("n")
     targets = source_targets(strata, weights, share, most).withColumnRenamed("source", "t_source")
     label = F.concat(F.lit(seed), F.coalesce(F.concat(F.lit(":"), F.col("source")), F.lit("")))
@@ -83,6 +85,8 @@ def mix(
                 (hash32(label) / F.lit(2.0**32)).alias("offset"))
         .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     )
+    # A small table goes to every task, which spares the rows with their texts a shuffle; a large one is joined.
+    strata = F.broadcast(strata) if n_strata <= BROADCAST_ROWS else strata
     on = F.lit(True)
     for k in key:
         on = on & F.col(k).eqNullSafe(F.col(f"k_{k}"))
