@@ -36,7 +36,7 @@ from .wordhash import mixed, shingles, word_hashes
 
 GROUP = 4096  # sets in a group, at most
 GROUP_SHINGLES = 1 << 20  # shingles in a group, at most (or one set)
-BATCH_SHINGLES = 1 << 19  # shingles opened in a task's batch, about
+BATCH_SHINGLES = 1 << 18  # shingles opened in a task's batch, about
 EXTRA = 40  # one more token, and one more to share, for so many shingles
 BLOCK = 512  # sets on a side of one product
 FLUSH = 1 << 18  # tokens in a batch of rows
@@ -174,7 +174,7 @@ def _overlap(a: list[np.ndarray], b: list[np.ndarray], same: bool) -> np.ndarray
         return np.repeat(np.arange(len(sets)), [len(x) for x in at]), np.concatenate(at)
 
     (ra, ca), (rb, cb) = places(a), places(b)
-    step = 1 << 13
+    step = 1 << 12
     for lo in range(0, len(common), step):
         width = min(step, len(common) - lo)
         m = []

@@ -9,7 +9,7 @@ import numpy as np
 _M = 1 << 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, _M)
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _VALUE = np.random.default_rng(7).integers(1, _M, 256, dtype=np.uint64)
