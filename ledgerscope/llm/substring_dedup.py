@@ -1,17 +1,22 @@
 """Removal of repeated passages: every word in a window of `window` words that starts somewhere else too.
 
-Confirming. Each window has an anchor, its phrase of `phrase` words with the smallest hash (the first of
+Finding candidates. Each window has an anchor, its phrase of `phrase` words with the smallest hash (the first of
 several). Equal windows have equal anchors at equal places, so only windows whose anchor recurs matter. The
-windows of one anchor form a run; its words from the first window's start to the last one's end are the
-anchor's context. An anchor that recurs in one context only has all its windows confirmed at once. For
-the other anchors one text of each distinct context is fetched and the windows are counted by hash.
+windows of one anchor form a run; its words from the first window's start to the last one's end are a
+context, the part of a document that has to be looked at for this anchor.
 
-Locating. The confirmed windows of the contexts that occur once are compiled, shard by shard, into
-Aho-Corasick automata over word numbers, and the contexts that documents have for that shard's anchors
-stream through them. Shards are bounded: anchors are dealt by hash, and those with many contexts are salted,
-each salt with the shard's confirmed hashes.
+Confirming. Contexts are dealt to shards by their anchors, each distinct one with its words and its number of
+occurrences, so that all occurrences of a window meet in one shard. There they are compared as words: a
+context that occurs several times is a recurring passage, and so is a window that several contexts hold.
 
-Anchors and ranges are small rows; texts shuffle only for documents that a bitmap of fixed size lets through.
+Locating. The recurring passages of a shard are compiled into one Aho-Corasick automaton over word numbers, and all
+contexts of the shard stream through it. What it matches are the ranges that documents with that context lose.
+A text without a match keeps all its words; nothing is removed by any other way.
+
+Shards are bounded: an anchor with more contexts than fit is dealt to several tasks. These count their windows by
+hash together first, and a task's automaton has the words of one occurrence of each window that recurs.
+
+Anchors, contexts and ranges are small rows; texts are read only for documents that a bitmap of fixed size lets through.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -27,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, bitmap, packed, salted_join, split_by, unpacked, written
+from .common import HOT_SHARE, ROW, WORD, Scratch, bitmap, hot_join, hot_keys, packed, split_by, unpacked, written
 from .wordhash import range_hashes, shingles, word_hashes
 
 WINDOW, PHRASE = 35, 8
@@ -61,85 +67,125 @@ def _occurrences(window: int, phrase: int):
     return emit
 
 
-def _contexts(window: int, shards: int, salts: int):
+_TEXTS = "a long, ctx long, n long, parts int, words string, windows array<long>"
+
+
+def _contexts(window: int):
+    """The words of each wanted context, and hashes of its windows where its anchor is dealt to several tasks."""
+
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, rid, wanted in zip(batch["text"], batch["rid"], batch["wanted"]):
-                words = _word.findall(text)
-                (hashes,) = word_hashes([text])
+            for text, wanted in zip(batch["text"], batch["wanted"]):
+                words, hashes = _word.findall(text), None
                 for w in wanted:
-                    first, last = w["first"], w["last"]
-                    start = np.arange(first, last + 1)
-                    out.append((
-                        w["a"] % shards, rid % salts, rid, first, w["n"], " ".join(words[first : last + window]),
-                        range_hashes(hashes, start, start + window).view(np.int64),
-                    ))
-            yield pd.DataFrame(out, columns=["shard", "salt", "rid", "first", "n", "words", "windows"])
+                    first, last, windows = w["first"], w["last"], None
+                    if w["parts"] > 1:
+                        hashes = next(word_hashes([text])) if hashes is None else hashes
+                        start = np.arange(first, last + 1)
+                        windows = range_hashes(hashes, start, start + window).view(np.int64)
+                    out.append((w["a"], w["ctx"], w["n"], w["parts"], " ".join(words[first : last + window]), windows))
+            yield pd.DataFrame(out, columns=["a", "ctx", "n", "parts", "words", "windows"])
 
     return emit
 
 
-def _locate(window: int):
-    def locate(contexts: pd.DataFrame, confirmed: pd.DataFrame) -> pd.DataFrame:
-        """Ranges of words, in documents, that confirmed windows cover within these contexts."""
+class _Passages:
+    """An automaton over numbered words."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+
+    def number(self, words: str) -> tuple[int, ...]:
+        return tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in words.split(" "))
+
+    def covered(self, streams: list[tuple[int, tuple[int, ...]]]) -> pd.DataFrame:
+        """(ctx, start, stop): the ranges of words of each stream that matches cover."""
         out: list[tuple[int, int, int]] = []
-        known = set(confirmed["w"].tolist())
-        numbers: dict[str, int] = {}
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-        streams = []
-        for rid, first, words, windows in zip(contexts["rid"], contexts["first"], contexts["words"], contexts["windows"]):
-            hits = [j for j, w in enumerate(windows) if w in known]
-            if hits:
-                ids = tuple(numbers.setdefault(w, len(numbers) + 1) for w in words.split(" "))
-                streams.append((rid, first, ids))
-                for j in hits:
-                    automaton.add_word(ids[j : j + window])
-        if streams:
-            automaton.make_automaton()
-        for rid, first, ids in streams:
+        if len(self.automaton):
+            self.automaton.make_automaton()
+        for ctx, ids in streams if len(self.automaton) else ():
+            found = sorted((at + 1 - length, at + 1) for at, length in self.automaton.iter(ids))
             begin = end = -1
-            for at, _ in automaton.iter(ids):
-                s, e = at + 1 - window, at + 1
+            for s, e in found:
                 if s > end:
-                    if end > 0:
-                        out.append((rid, first + begin, first + end))
+                    out += [(ctx, begin, end)] if end > 0 else []
                     begin = s
-                end = e
-            if end > 0:
-                out.append((rid, first + begin, first + end))
-        return pd.DataFrame(out, columns=["rid", "start", "stop"], dtype="int64")
+                end = max(end, e)
+            out += [(ctx, begin, end)] if end > 0 else []
+        return pd.DataFrame(out, columns=["ctx", "start", "stop"], dtype="int64")
+
+
+def _locate(window: int):
+    def locate(contexts: pd.DataFrame) -> pd.DataFrame:
+        passages, held = _Passages(), Counter()
+        alone = ~contexts["a"].duplicated(keep=False)  # an anchor's only context shares no window with others
+        streams = [(ctx, passages.number(words)) for ctx, words in zip(contexts["ctx"], contexts["words"])]
+        for (_, ids), n, one in zip(streams, contexts["n"], alone):
+            if n > 1:
+                passages.automaton.add_word(ids)
+            if not one:
+                held.update(ids[j : j + window] for j in range(len(ids) - window + 1))
+        for ids, n in held.items():
+            if n > 1:
+                passages.automaton.add_word(ids)
+        return passages.covered(streams)
 
     return locate
 
 
+def _locate_part(contexts: pd.DataFrame, recurring: pd.DataFrame) -> pd.DataFrame:
+    """As _locate, with the words of the windows that recur."""
+    passages = _Passages()
+    for words in recurring["words"]:
+        passages.automaton.add_word(passages.number(words))
+    return passages.covered([(ctx, passages.number(words)) for ctx, words in zip(contexts["ctx"], contexts["words"])])
+
+
+def _located_in_parts(texts: DataFrame, window: int) -> DataFrame:
+    """(ctx, start, stop) for contexts of anchors that are dealt to several tasks; texts is written."""
+    part = F.pmod("ctx", F.col("parts")).cast("int").alias("part")
+    windows = texts.select("a", part, "ctx", "n", F.posexplode("windows").alias("j", "w"))
+    counted = windows.groupBy("a", "w").agg(F.sum("n").alias("n"), F.min(F.struct("ctx", "j")).alias("at")).filter("n > 1")
+    words = F.array_join(F.slice(F.split("words", " "), F.col("at.j") + 1, F.lit(window)), " ").alias("words")
+    shown = counted.join(texts.select("ctx", "words"), F.col("at.ctx") == F.col("ctx")).select("w", words)
+    needed = windows.select(F.col("a").alias("anchor"), F.col("part").alias("task"), "w").distinct().join(shown, "w")
+    return texts.select("a", part, "ctx", "words").groupBy("a", "part").cogroup(needed.groupBy("anchor", "task")).applyInPandas(
+        _locate_part, "ctx long, start long, stop long"
+    )
+
+
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, group: int = GROUP) -> DataFrame:
     """(rid, ranges) of docs (rid, text) with words in repeated windows; ranges is an array of (start, stop)."""
-    seen = written(docs.mapInPandas(_occurrences(window, phrase), "a long, ctx long, rid long, first int, last int"))
-    anchors = seen.groupBy("a").agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).filter("n > 1")
-    # Written first: the join then has a plain exchange on both sides, and a hot anchor's partition can be split.
-    anchors = written(anchors.select("a", (F.col("lo") != F.col("hi")).alias("varies")))
-    recurring = written(seen.join(anchors, "a"))
-    varied = recurring.filter("varies")
-    contexts = written(varied.groupBy("a", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "last")).alias("at")))
-
-    sizes = contexts.groupBy("a").agg(F.count("*").alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
-    shards, salts = max(1, math.ceil((sizes["all"] or 0) / group)), max(1, math.ceil((sizes["most"] or 0) / group))
-    wanted = contexts.select("a", "n", "at.*").groupBy("rid").agg(F.collect_list(F.struct("a", "n", "first", "last")).alias("wanted"))
-    some, _ = split_by(docs, "rid", bitmap(contexts.select("at.rid"), "rid"))
-    texts = written(some.join(wanted, "rid").mapInPandas(
-        _contexts(window, shards, salts), "shard long, salt long, rid long, first long, n long, words string, windows array<long>"
-    ))
-    counted = texts.select("shard", "n", F.explode("windows").alias("w")).groupBy("shard", "w").agg(F.sum("n").alias("n")).filter("n > 1")
-    counted = counted.select("shard", "w", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
-    once = texts.filter("n = 1").drop("n")
-    located = once.groupBy("shard", "salt").cogroup(counted.groupBy("shard", "salt")).applyInPandas(_locate(window), "rid long, start long, stop long")
-
-    span = lambda df: df.select("rid", F.col("first").cast("long").alias("start"), (F.col("last") + window).cast("long").alias("stop"))
-    whole = span(recurring.filter("not varies"))
-    several = span(salted_join(varied, contexts.filter("n > 1").select("a", "ctx"), ["a", "ctx"], ["rid", "first"], "inner"))
-    ranges = whole.unionByName(several).unionByName(located)
-    return ranges.groupBy("rid").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    with Scratch(docs.sparkSession) as scratch:
+        seen = scratch.write(docs.mapInPandas(_occurrences(window, phrase), "a long, ctx long, rid long, first int, last int"))
+        anchors = scratch.write(seen.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1"))
+        total = anchors.agg(F.sum("n")).first()[0] or 0
+        hot = [r["a"] for r in anchors.filter(F.col("n") * HOT_SHARE > total).collect()]
+        recurring = scratch.write(hot_join(seen, anchors.select("a"), "a", "ctx", hot))
+        scratch.drop(seen, anchors)
+
+        contexts = scratch.write(recurring.groupBy("a", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "last")).alias("at")))
+        many = contexts.groupBy("a").agg(F.ceil(F.count("*") / group).cast("int").alias("parts")).filter("parts > 1")
+        dealt = hot_join(contexts, many, "a", "ctx", hot_keys(contexts, "a"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        wanted = dealt.select("a", "ctx", "n", "parts", "at.*").groupBy("rid").agg(F.collect_list(F.struct("a", "ctx", "n", "parts", "first", "last")).alias("wanted"))
+        some, _ = split_by(docs, "rid", bitmap(contexts.select("at.rid"), "rid"))
+        texts = scratch.write(some.join(wanted, "rid").dropDuplicates(["rid"]).mapInPandas(_contexts(window), _TEXTS))
+
+        shards = max(1, math.ceil(contexts.count() / group))
+        located = texts.filter("parts = 1").select("a", "ctx", "n", "words").groupBy(F.pmod(F.xxhash64("a"), F.lit(shards))).applyInPandas(
+            _locate(window), "ctx long, start long, stop long"
+        )
+        in_parts = texts.filter("parts > 1")
+        if not in_parts.isEmpty():
+            located = located.unionByName(_located_in_parts(in_parts, window))
+        located = scratch.write(located)
+        often = contexts.agg(F.sum("n")).first()[0] or 0
+        hot = [r["ctx"] for r in contexts.filter(F.col("n") * HOT_SHARE > often).select("ctx").collect()]
+        ranges = hot_join(recurring.select("ctx", "rid", "first"), located, "ctx", "rid", hot)
+        place = F.struct((F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop")).alias("stop"))
+        return written(ranges.groupBy("rid").agg(F.collect_set(place).alias("ranges")))
 
 
 def _cutter(digest: bool):
@@ -167,11 +213,13 @@ def remove_repeats(
     """docs with n_words, n_removed and kept_text (kept words joined by one space), or kept_sha256 if `digest`.
 
     Windows are judged on the input. A null text has no words. Documents shorter than a window keep all.
-    Repeated rows repeat each other's windows. An empty table gives an empty one. Rows are told apart by a
-    64-bit hash of id and text; rows equal in both have the same windows and lose the same words.
+    Repeated rows repeat each other's windows. An empty table gives an empty one. Very long texts are treated
+    whole. A null id is an id like any other. Input columns named like a result column give way, others keep their
+    values. Rows are told apart by a 64-bit hash of id and text, and contexts by one of their words; rows
+    equal in id and text have the same windows and lose the same words.
     """
     rows = docs.select(packed(docs), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("rid"))
-    ranges = written(repeated_ranges(rows.select("rid", "text"), window, phrase))
+    ranges = repeated_ranges(rows.select("rid", "text"), window, phrase)
     some, rest = split_by(rows, "rid", bitmap(ranges, "rid"))
     rest = rest.withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType))
     both = some.join(ranges, "rid", "left").unionByName(rest)

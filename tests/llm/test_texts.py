@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF
 from hypothesis import given, settings
@@ -89,6 +90,18 @@ def test_repeats_on_edges(spark):
     assert {r["doc_id"]: r["kept_text"] for r in kept.collect()} == {1: "e", 2: "q"}
 
 
+def test_only_matches_of_the_automaton_count():
+    rows = lambda *r: pd.DataFrame(r, columns=["a", "ctx", "n", "words"])
+    found = lambda df: sorted(tuple(map(int, r)) for r in df.itertuples(index=False))
+    locate = substring_dedup._locate(3)
+    assert found(locate(rows((1, 7, 2, "a b c d"), (2, 8, 1, "x y z")))) == [(7, 0, 4)]
+    assert found(locate(rows((1, 7, 1, "q a b c"), (1, 8, 1, "a b c r s t"), (1, 9, 1, "u v w")))) == [(7, 1, 4), (8, 0, 3)]
+    assert found(locate(rows((1, 7, 1, "a b c"), (1, 8, 1, "a B c")))) == []
+    parts = pd.DataFrame({"ctx": [7], "words": ["q a b c"]})
+    assert found(substring_dedup._locate_part(parts, pd.DataFrame({"words": ["a b c"]}))) == [(7, 1, 4)]
+    assert found(substring_dedup._locate_part(parts, pd.DataFrame({"words": []}))) == []
+
+
 # Similar documents
 
 
