@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,7 @@ BATCH_SHINGLES = 1 << 18  # shingles opened in a task's batch, about
 EXTRA = 40  # one more token, and one more to share, for so many shingles
 BLOCK = 512  # sets on a side of one product
 FLUSH = 1 << 18  # tokens in a batch of rows
+SLICE_ROWS = 1000  # documents whose texts are Python strings at one time
 
 CELL_BITS, SLICES, FAN_IN = 20, 64, 64  # counters of hashed shingles; parts of their table; tables added up in a task
 CELLS = 1 << CELL_BITS
@@ -75,14 +77,21 @@ def _sets(texts: list[str], size: int) -> Iterator[tuple[np.ndarray, int]]:
 _FACTS = "doc_id long, rid long, n long, fp long, slice int, part int, cells binary"
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """A batch in slices, with their texts: Python strings of a whole batch would take more memory than the batch."""
+    for at in range(0, batch.num_rows, SLICE_ROWS):
+        part = batch.slice(at, SLICE_ROWS)
+        yield part, part.column("text").to_pylist()
+
+
 def _describe(size: int):
     """A row for each document, and at the end of a partition rows with the counts of its shingles, each set once."""
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen, fresh, held = np.zeros(CELLS, np.int64), set(), [], 0
-        for b in batches:
+        for part, texts in (x for b in batches for x in _slices(b)):
             found = []
-            for tokens, fp in _sets(b["text"].tolist(), size):
+            for tokens, fp in _sets(texts, size):
                 found.append((len(tokens), fp))
                 if fp not in seen:
                     seen.add(fp)
@@ -91,20 +100,25 @@ def _describe(size: int):
                 if held >= FLUSH:
                     np.add.at(counts, np.concatenate(fresh), 1)
                     fresh, held = [], 0
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"], "rid": b["rid"], "n": [n for n, _ in found], "fp": [fp for _, fp in found], "slice": None, "part": None, "cells": None,
-            })
+            n, fp = ([int(x[i]) for x in found] for i in (0, 1))
+            none = [None] * len(found)
+            yield _facts(part.column("doc_id"), part.column("rid"), n, fp, none, none, none)
         if fresh:
             np.add.at(counts, np.concatenate(fresh), 1)
         if counts.any():
-            part, width = TaskContext.get().partitionId(), CELLS // SLICES
-            yield pd.DataFrame([
-                (None, None, None, None, i, part, zlib.compress(counts[i * width : (i + 1) * width].tobytes(), 1)) for i in range(SLICES)
-            ], columns=["doc_id", "rid", "n", "fp", "slice", "part", "cells"])
+            part, width, none = TaskContext.get().partitionId(), CELLS // SLICES, [None] * SLICES
+            cells = [zlib.compress(counts[i * width : (i + 1) * width].tobytes(), 1) for i in range(SLICES)]
+            yield _facts(none, none, none, none, list(range(SLICES)), [part] * SLICES, cells)
 
     return emit
 
 
+def _facts(*columns) -> pa.RecordBatch:
+    types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
+    names = [field.split(" ")[0] for field in _FACTS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, list) else c for c, t in zip(columns, types)], names)
+
+
 def _counts(cells: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(cells), np.int64)
 
@@ -136,14 +150,15 @@ def shingle_order(facts: DataFrame) -> np.ndarray:
 def _tokens(size: int, num: int, den: int, order: np.ndarray):
     """(token, fp, n) of each set, once in a partition."""
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> pd.DataFrame:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
             many = [len(s) for s in sigs]
-            return pd.DataFrame({"token": np.concatenate(sigs).view(np.int64), "fp": np.repeat(fps, many), "n": np.repeat(ns, many)})
+            columns = np.concatenate(sigs).view(np.int64), np.repeat(fps, many), np.repeat(np.array(ns, np.int32), many)
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "fp", "n"])
 
         sigs, fps, ns, held, seen = [], [], [], 0, set()
-        for b in batches:
-            for tokens, fp in _sets(b["text"].tolist(), size):
+        for _, texts in (x for b in batches for x in _slices(b)):
+            for tokens, fp in _sets(texts, size):
                 if len(tokens) and fp not in seen:
                     seen.add(fp)
                     sigs.append(signatures(tokens, num, den, order))
@@ -378,10 +393,10 @@ def _next_members(matrix: DataFrame, sets: DataFrame, labels: DataFrame, num: in
 
 def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """(described, labels): docs (doc_id, rid, text) as (doc_id, rid, n, fp), and (fp, comp) of the sets that share enough tokens."""
-    facts = written(docs.mapInPandas(_describe(size), _FACTS))
+    facts = written(docs.mapInArrow(_describe(size), _FACTS))
     described = facts.filter("slice is null").select("doc_id", "rid", "n", "fp")
     with Scratch(docs.sparkSession) as scratch:
-        every = scratch.write(docs.select("text").mapInPandas(_tokens(size, num, den, shingle_order(facts)), "token long, fp long, n int"))
+        every = scratch.write(docs.select("text").mapInArrow(_tokens(size, num, den, shingle_order(facts)), "token long, fp long, n int"))
         matrix = _matrix(every, num, den, scratch)
         sets, members = _first_members(matrix, num, den, group, scratch)
 
@@ -440,15 +455,17 @@ def drop_near_duplicates(
     """
     inner = docs.select(packed(docs), F.col(text).alias("t"), F.col(id).alias("i"), F.xxhash64(F.col(id), F.col(text)).alias("rid"))
     some, _ = _placed(inner, F.col("t"), F.col("i"), size, threshold, group)
-    places = written(some.select("rid", "winner"))
-    dropped = places.filter("rid <> winner").select("rid").distinct()
-    rows, rest = split_by(inner, "rid", bitmap(dropped, "rid"))
-    kept = rows.join(dropped, "rid", "left_anti").select("rid", ROW).unionByName(rest.select("rid", ROW))
+    places = some.select("rid", "winner")
+    one = F.lit(True).alias("one")
+    acts = places.filter("rid <> winner").select("rid", F.lit(False).alias("one")).distinct()
     if not repeats:
-        again = places.filter("rid = winner").groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").select("rid")
-        rows, rest = split_by(kept, "rid", bitmap(again, "rid"))
-        several = rows.join(again, "rid", "left_semi").groupBy("rid").agg(F.first(ROW).alias(ROW))
-        kept = several.unionByName(rows.join(again, "rid", "left_anti")).unionByName(rest)
+        acts = acts.unionByName(places.filter("rid = winner").groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").select("rid", one))
+    acts = written(acts)
+    rows, rest = split_by(inner, "rid", bitmap(acts, "rid"))
+    kept = rows.join(acts, "rid", "left_anti").select(ROW).unionByName(rest.select(ROW))
+    repeated = acts.filter("one")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(rows.join(repeated, "rid", "left_semi").groupBy("rid").agg(F.first(ROW).alias(ROW)).select(ROW))
     return kept.select(f"{ROW}.*")
 
 

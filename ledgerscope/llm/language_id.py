@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -225,11 +226,11 @@ def predictor(names: list[str], protos: np.ndarray, dimensions: int = DIMENSIONS
             "lang": np.where(some, np.array(names, object)[best], UNKNOWN), "score": score, "known": some & (score >= least[_class(distinct)]),
         })
 
-    @F.pandas_udf("lang string, score double, known boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang string, score double, known boolean")
+    def predict(texts: pa.Array) -> pa.Array:
         # A slice at a time: a batch's vectors would take more memory than its texts.
-        parts = [answer([t if isinstance(t, str) else None for t in texts[at : at + _ROWS]]) for at in range(0, max(1, len(texts)), _ROWS)]
-        return pd.concat(parts, ignore_index=True)
+        parts = [answer(texts.slice(at, _ROWS).to_pylist()) for at in range(0, max(1, len(texts)), _ROWS)]
+        return pa.RecordBatch.from_pandas(pd.concat(parts, ignore_index=True), preserve_index=False).to_struct_array()
 
     return predict
 
