@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.functions.expr import at, first_truthy, folded, holds, typed, ustrip
+from ledgerscope.functions.expr import at, first_truthy, folded, holds, typed
 from ledgerscope.sources.city import CityConfig
 
 # The sphere of municipal bodies and the power of each branch.
@@ -36,7 +36,7 @@ def contract_in_scope(record: Column, city: CityConfig, scope: str) -> Column:
     either = lambda base, *paths: typed(first_truthy([at(base, p) for p in paths]), "string")
 
     def here(unit: Column) -> Column:
-        code = ustrip(either(unit, "codigoIbge", "codigoIbgeMunicipio", "municipioId")) == city.ibge_code
+        code = either(unit, "codigoIbge", "codigoIbgeMunicipio", "municipioId") == city.ibge_code
         return F.coalesce(code, F.lit(False)) | same_name(either(unit, "municipioNome", "nomeMunicipio"), city.name)
 
     def inside(r: Column) -> Column:

@@ -11,16 +11,17 @@ from ledgerscope.functions.expr import at, blank_to_null, strict_double, strict_
 from ledgerscope.operators.merge import first_wins, last_wins
 from ledgerscope.schemas import TABLES
 from ledgerscope.sources.city import CATALOGUE, Workspace
-from ledgerscope.sources.seeds import parsed, read_lines, read_rows, read_seed
+from ledgerscope.sources.seeds import LINE, parsed, read_lines, read_rows, read_seed
 
 from . import store
 
 #: Order of arrival across inputs: seeds come first, then files in the order given.
-_SEQ = "struct<file:int,line:long>"
+_SEQ = f"struct<file:int,line:{LINE}>"
 
 
 def _ordered(frame: DataFrame, file: int) -> DataFrame:
-    return frame.withColumn("seq", F.struct(F.lit(file).alias("file"), F.col("seq").alias("line")).cast(_SEQ))
+    line = F.struct(F.lit("").alias("path"), F.lit(0).alias("block"), F.col("seq").alias("row"))
+    return frame.withColumn("seq", F.struct(F.lit(file).alias("file"), line.alias("line")).cast(_SEQ))
 
 
 def must_be(kind: str, cell: Column, name: str) -> Column:

@@ -100,7 +100,8 @@ def collect_contracts(
     if known.isEmpty():
         raise ValueError("no agency id to collect contracts for")
     cells = request_grid(known.filter(F.length("cnpj") == 14), date_windows(spark, start, end))
-    cells = cells.withColumn("series", F.xxhash64("cnpj", "start"))
+    # Series are taken up agency by agency, in each window by window: 14 digits of the id, four of the window.
+    cells = cells.withColumn("series", F.col("cnpj").cast("long") * 10_000 + F.floor(F.datediff("start", F.lit(start)) / 30))
     grid = _grid(cells, {"cnpjOrgao": F.col("cnpj")})
     landed = _landed(paged.fetch_pages(grid, paged.CONTRACTS_URL, "pncp_contratos", page_size, pause, fetch, paged.single_retry_get), out)
     rows = _records(landed)

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from ledgerscope.functions.expr import at, typed, ustrip
 from ledgerscope.schemas import Table
 
+#: The place of a line among the lines of one path.
+LINE = "struct<path:string,block:bigint,row:bigint>"
+
 _KIND = {"text": "string", "int": "bigint", "real": "double"}
 
 
@@ -39,7 +42,8 @@ def read_seed(spark: SparkSession, path: str, columns: Sequence[str], seq: bool
 def read_lines(spark: SparkSession, paths: Iterable[str], missing_ok: bool = False) -> DataFrame:
     """(file, line, value) of the lines of text files that aren't blank; `file` is a path's place in the list.
 
-    Lines are numbered within a file as far as Spark reads it in order (files are cut at blocks, numbers grow).
+    `line` sorts in reading order: a path that is a folder counts its files by name, whatever order Spark reads
+    them in, a file its blocks by place, and a block its lines.
     """
     out = None
     for place, path in enumerate(paths):
@@ -49,9 +53,12 @@ def read_lines(spark: SparkSession, paths: Iterable[str], missing_ok: bool = Fal
             if missing_ok and _missing(problem):
                 continue
             raise
-        lines = lines.select(F.lit(place).alias("file"), F.monotonically_increasing_id().alias("line"), "value").filter(ustrip(F.col("value")) != "")
+        line = F.struct(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
+        )
+        lines = lines.select(F.lit(place).alias("file"), line.alias("line"), "value").filter(ustrip(F.col("value")) != "")
         out = lines if out is None else out.unionByName(lines)
-    return spark.createDataFrame([], "file int, line long, value string") if out is None else out
+    return spark.createDataFrame([], f"file int, line {LINE}, value string") if out is None else out
 
 
 def arrival() -> Column:

@@ -27,6 +27,18 @@ def lines(path, *rows):
     return str(path)
 
 
+def test_arrival_order_over_part_files(spark, tmp_path):
+    """Files of a folder count by name, though Spark reads larger ones first."""
+    folder = tmp_path / "rows.jsonl"
+    folder.mkdir()
+    for i, pad in enumerate((0, 40, 900)):
+        rows = [{"event_key": f"{i}-{k}", "nature_name": "x" * pad} for k in range(3)]
+        (folder / f"part-0000{i}.json").write_text("\n".join(map(json.dumps, rows)) + "\n")
+    last = lines(tmp_path / "last.jsonl", {"event_key": "last"})
+    got = read_rows(spark, [str(folder), last], TABLES["revenue_events"]).orderBy("seq").select("event_key").collect()
+    assert [r[0] for r in got] == [f"{i}-{k}" for i in range(3) for k in range(3)] + ["last"]
+
+
 def test_workspace(spark, home):
     w = open_workspace(home, "salvador")
     assert w.city == CityConfig("salvador", "Salvador", "BA", "2927408", None)
