@@ -1,7 +1,10 @@
 """A versioned store of the model's tables as Parquet.
 
-A version is a folder of tables. It counts only once its name is appended to the list of versions, which is a
-single commit of a single file: a run that fails leaves the last version in force.
+A version says for each table which folder holds it, so tables that a commit doesn't change aren't written again. It
+counts only once its row is in the list of versions, which is a single commit of a single file: a run that fails
+leaves the last version in force. A writer that finds its number taken fails with Conflict instead of hiding the other's
+rows. Numbers are taken by a folder's existence, looked up just before the row is written: two writers that get there
+within the same moment still need a lock of their own.
 """
 
 from __future__ import annotations
@@ -15,40 +18,49 @@ from pyspark.sql import functions as F
 from ledgerscope.schemas import TABLES
 
 
-def _versions(spark: SparkSession, root: str) -> DataFrame | None:
+class Conflict(RuntimeError):
+    """Another writer made a version from the same one and was first."""
+
+
+def _in_force(spark: SparkSession, root: str) -> tuple[int, str | None, dict[str, str]]:
+    """Number, name and the tables' folders of the last version."""
     try:
-        return spark.read.schema("number long, name string").parquet(f"{root}/versions")
+        versions = spark.read.schema("name string, places map<string,string>, number long").parquet(f"{root}/versions")
+        last = versions.agg(F.max_by(F.struct("number", "name", "places"), "number").alias("v")).first()["v"]
     except AnalysisException as problem:
-        if "PATH_NOT_FOUND" in str(problem):
-            return None
-        raise
+        if "PATH_NOT_FOUND" not in str(problem):
+            raise
+        last = None
+    return (last["number"], last["name"], last["places"]) if last else (0, None, {})
 
 
 def current(spark: SparkSession, root: str) -> tuple[int, str | None]:
     """Number and name of the version in force; (0, None) before the first."""
-    versions = _versions(spark, root)
-    row = versions and versions.agg(F.max("number").alias("number"), F.max_by("name", "number").alias("name")).first()
-    return (row["number"], row["name"]) if row and row["number"] else (0, None)
+    return _in_force(spark, root)[:2]
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table of the version in force; empty if it hasn't been written."""
-    _, name = current(spark, root)
-    try:
-        if name:
-            return spark.read.schema(TABLES[table].schema).parquet(f"{root}/{name}/{table}")
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
-    return spark.createDataFrame([], TABLES[table].schema)
+    places = _in_force(spark, root)[2]
+    if table not in places:
+        return spark.createDataFrame([], TABLES[table].schema)
+    return spark.read.schema(TABLES[table].schema).parquet(f"{root}/{places[table]}/{table}")
 
 
 def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
-    """Writes a new version with these tables, the others carried over, and puts it in force."""
-    number, _ = current(spark, root)
+    """Writes a new version with these tables, the others carried over by name, and puts it in force; may raise Conflict."""
+    number, base, places = _in_force(spark, root)
     name = f"v{number + 1}-{uuid.uuid4().hex[:8]}"
-    for table in TABLES:
-        frame = tables[table] if table in tables else read(spark, root, table)
+    for table, frame in tables.items():
         frame.select(*TABLES[table].names).write.parquet(f"{root}/{name}/{table}")
-    spark.createDataFrame([(number + 1, name)], "number long, name string").coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    row = spark.createDataFrame([(name, places | {table: name for table in tables})], "name string, places map<string,string>").coalesce(1)
+    place = f"{root}/versions/number={number + 1}"
+    try:
+        row.write.parquet(place)
+    except AnalysisException as problem:
+        if "PATH_ALREADY_EXISTS" not in str(problem):
+            raise
+        if current(spark, root)[1] != base:
+            raise Conflict(f"version {number + 1} of {root} is another writer's; {name} isn't in force") from problem
+        row.write.mode("overwrite").parquet(place)  # left by a commit that failed
     return name
