@@ -4,7 +4,8 @@ Documents are packed, largest first, into bins of `capacity` words. Open bins ar
 is left; the search begins at the first bin with room enough and goes on until a bin is compatible, so the
 tightest compatible bin is found, or a new one is opened. A bin carries a bitmap of the duplicate clusters
 in it (no two documents of a cluster share a bin) and one of its sources with `per_source` places
-each. Documents longer than a bin are cut into whole bins and a rest, which is packed like the others.
+each: by default twice the share of a bin that the largest source has of all pieces, so that a corpus of few sources or short
+documents still fills its bins. Documents longer than a bin are cut into whole bins and a rest, which is packed like the others.
 
 Packing runs in shards of bounded size, dealt by a hash of the row, so that hot sources and clusters spread
 evenly; each shard wastes part of a bin at most over packing all at once. Texts don't travel.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import word_count
 
 CAPACITY = 2048
-PER_SOURCE = 4
+PER_SOURCE = 4  #: least number of places of a source in a bin
 SHARD_DOCS = 8192
 SHARD_WORDS = 1 << 22
 
@@ -75,20 +76,27 @@ def _pack_shard(capacity: int, per_source: int):
 
 def pack(
     docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", cluster: Column | None = None,
-    capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_docs: int = SHARD_DOCS, shard_words: int = SHARD_WORDS,
+    capacity: int = CAPACITY, per_source: int | None = None, shard_docs: int = SHARD_DOCS, shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """One row per piece: doc_id, source, cluster, piece, first_word, words, bin_id, bin_words, bin_docs.
 
     `cluster` defaults to a hash of the text, so that exact copies conflict. A document without words (a null
     text too) gets one row with words 0 and null bin columns. A null source is a source of its own. Equal
-    rows are packed one by one and, being one cluster, into different bins. Extra columns are ignored.
+    rows are packed one by one and, being one cluster, into different bins. Very long texts are cut into many
+    pieces. Ties in size go by id, cluster and piece. Extra columns are ignored; an empty table gives an empty one.
     """
     rows = docs.select(
         F.col(id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
         (F.xxhash64(F.col(text)) if cluster is None else cluster).cast("long").alias("cluster"),
     )
-    total = rows.agg(F.count("*").alias("n"), F.sum("size").alias("words")).first()
-    shards = max(1, math.ceil(total["n"] / shard_docs), math.ceil((total["words"] or 0) / shard_words))
+    of_source = rows.groupBy("source").agg(
+        F.count("*").alias("n"), F.sum("size").alias("words"), F.sum(F.ceil(F.col("size") / capacity)).alias("pieces")
+    )
+    total = of_source.agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.max("pieces").alias("most")).first()
+    n, words = total["n"] or 0, total["words"] or 0
+    shards = max(1, math.ceil(n / shard_docs), math.ceil(words / shard_words))
+    if per_source is None:
+        per_source = max(PER_SOURCE, math.ceil(2 * capacity * (total["most"] or 0) / max(1, words)))
     last = F.floor((F.col("size") - 1) / capacity).cast("long")
     pieces = rows.filter("size > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     pieces = pieces.withColumn("first_word", F.col("piece") * capacity)

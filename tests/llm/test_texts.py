@@ -1,6 +1,8 @@
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -208,6 +210,50 @@ def test_language_edges(spark):
     assert {r["lang_pred"] for r in unlabelled.collect()} == {"und"}
 
 
+def brute_profile(text, dimensions):
+    """Binding and bundling one letter at a time."""
+    letters = [c if c.isalpha() else " " for c in f" {(text or '').lower()} "]
+    letters = [c for i, c in enumerate(letters) if c != " " or i == 0 or letters[i - 1] != " "]
+    total = [0] * dimensions
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        if b != " ":
+            va, vb, vc = (language_id._letter(0 if x == " " else ord(x), dimensions).tolist() for x in (a, b, c))
+            total = [t + va[i - 2] * vb[i - 1] * vc[i] for i, t in enumerate(total)]
+    return total
+
+
+def brute_unit(v):
+    norm = math.sqrt(sum(x * x for x in v))
+    return [x / norm for x in v] if norm else v
+
+
+def test_languages_against_brute_force(spark):
+    """The whole query on a small fixture: held-out rows, prototypes, cosines and the best language, in plain Python."""
+    dimensions, words = 64, {"en": "the and of that with this", "de": "der und die von das mit", "fr": "le et de que avec les"}
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choices(words[lang].split(), k=r.randrange(1, 9))), lang) for i in range(60) for lang in [r.choice([*words])]]
+    rows += [(60, None, "en"), (61, "12 !", "de"), (62, "Über-Maß, und DAS", None), (63, "the the", None), (3, rows[3][1], "en"), (None, "le et", "fr"), (64, "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {(x["doc_id"], x["text"]): x for x in language_id.identify(docs, dimensions=dimensions).collect()}
+    protos = {}
+    for i, text, lang in rows:
+        out = i is not None and zlib.crc32(str(i).encode()) % 4 == 2
+        assert got[i, text]["held_out"] is out
+        if not out and lang is not None and text is not None:
+            unit = brute_unit(brute_profile(text, dimensions))
+            protos[lang] = [a + b for a, b in zip(protos.get(lang, [0] * dimensions), unit)]
+    protos = {lang: brute_unit(v) for lang, v in protos.items()}
+    for i, text, _ in rows:
+        unit = brute_unit(brute_profile(text, dimensions))
+        cosines = {lang: sum(a * b for a, b in zip(unit, v)) for lang, v in protos.items()}
+        x = got[i, text]
+        if not any(unit):
+            assert (x["lang_pred"], x["score"]) == ("und", 0.0)
+            continue
+        best = max(cosines.values())
+        assert abs(x["score"] - max(0.0, best)) < 1e-4 and cosines[x["lang_pred"]] > best - 1e-4
+
+
 def test_profiles_add_up():
     a, b = "the quick brown fox ", "jumps over the lazy dog "
     long = a * 60_000 + b
@@ -321,6 +367,18 @@ def test_pack(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_one_source_of_short_documents_fills_bins(spark):
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat(repeat('w ', 50), id) as text", "'a' as source")
+    bins = packing.pack(docs).groupBy("bin_id").agg({"words": "sum"}).collect()
+    assert sum(r[1] for r in bins) == 2000 * 51 and len(bins) <= 52
+
+
+def test_a_very_long_text_is_packed_in_pieces(spark):
+    docs = spark.createDataFrame([(1, "w " * 100_001, "a")], "doc_id long, text string, source string")
+    got = packing.pack(docs).collect()
+    assert sum(r["words"] for r in got) == 100_001 and sorted(r["first_word"] for r in got) == [*range(0, 100_001, packing.CAPACITY)]
+
+
 def test_pack_fills_bins_on_documents(spark):
     got = registry.op3_packing(spark, SF).filter("bin_id is not null").groupBy("bin_id").agg({"words": "sum"}).collect()
     assert sum(r[1] for r in got) / len(got) > 0.9 * packing.CAPACITY
