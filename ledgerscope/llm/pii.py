@@ -5,10 +5,13 @@ digits with separators, whole and in part. Boosted trees score each span from it
 separators) and its context (words before it, neighbouring characters). The threshold of each kind is the
 lowest that keeps the wanted precision on held-out candidates. Known formats (the base spans) always stay.
 
-The trees learn from weak labels: a candidate that is a base span is a positive one. The features leave out
-what defines the base formats (checksum, value range), so a near miss in a telling context can pass. Learning
-uses a bounded sample (about `sample_docs` documents with a digit or at-sign, `sample_spans` candidates of each);
-scanning is a vectorised map over all whole texts, without a shuffle.
+The trees learn from planted examples, since the known formats need no trees. A training window is a piece of a
+document's own text with an example in it: a base span of that document in a broken format, a made-up value in a
+broken format, with or without a telling word before it, or a number of another meaning (a version, an ISBN, an
+order). The planted span is the positive; what overlaps it otherwise, the other meanings, and candidates of digits
+elsewhere in the documents are negatives. Candidates that touch a base span or may be in a broken format themselves
+are left out. Learning uses a bounded sample (about `sample_docs` documents, `sample_spans` candidates of each); scanning is a
+vectorised map over all whole texts, without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ KINDS = ["email", "ip", "card", "phone"]
 SAMPLE_DOCS, SAMPLE_SPANS = 4000, 64
 TREES, DEPTH, RATE, BINS = 30, 3, 0.3, 16
 PRECISION = 0.98
+MOST_GROUPS = 6  #: groups of digits in a number that is proposed from a longer row of them
+WINDOW = 64  #: characters of a document's own text on each side of a planted example
 
 Span = tuple[str, int, int]
 
@@ -37,7 +42,11 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SPELLED = re.compile(r"(?i)(?<![\w.])[\w.+-]{1,64}\x20?[\[(]?(?:at|@)[\])]?\x20?[\w-]{1,63}\x20?[\[(]?(?:dot|\.)[\])]?\x20?[a-z]{2,24}(?!\w)")
+_AT = r"(?:\x20?(?:[\[(]at[\])]|@)\x20?|\x20at\x20)"
+_DOT = r"(?:\x20?[\[(](?:dot|\.)[\])]\x20?|\x20dot\x20|\x20\.\x20|\.)"
+_SPELLED = re.compile(rf"(?i)(?<![\w.])[\w.+-]{{1,64}}{_AT}[\w-]{{1,63}}(?:{_DOT}[\w-]{{1,63}}){{0,3}}{_DOT}[a-z]{{2,24}}(?!\w)")
+_AT_SIGN = re.compile(r"(?i)@|[\[(]at[\])]|\x20at\x20(?=[\w-]{1,63}\x20?[\[(]?dot)")
+_BROKEN_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\x20\.\x20)[0-9]{1,3}){3}(?![0-9])")
 _NUMBER = re.compile(r"\+?[0-9(][0-9().\x20/:-]*[0-9]")
 _PART = re.compile(r"[0-9][0-9.:-]*[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -50,6 +59,16 @@ _CUES = [
 ]
 
 
+# Last labels of addresses, words before planted examples, and words of spelled-out text that is no address.
+_DOMAINS = ["com", "org", "net", "edu", "gov", "io", "info", "de", "fr", "es", "it", "uk", "br", "example"]
+_BEFORE = {
+    "email": ["email", "mail", "contact", "write to", ""], "ip": ["ip", "host", "server", "login from", ""],
+    "card": ["card", "visa", "credit card", "payment", "pay with"], "phone": ["phone", "tel", "call", "fax", "mobile"],
+}
+_NO_ADDRESS = ["product", "plot", "matrix", "size", "pattern", "line"]
+_OTHER = ["version", "isbn", "order", "section", "table", "figure", "license", "part", "in", "of"]
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -93,18 +112,20 @@ def base_spans(text: str) -> list[Span]:
 def candidates(text: str) -> list[Span]:
     """Overlapping proposals with high recall, each with the kind that its form suggests."""
     out: set[Span] = set()
-    if "@" in text or "at" in text or "AT" in text:
-        near = [m.start() for m in re.finditer(r"@|[\[(](?:at|AT)[\])]", text)]
-        for at in near:
-            lo = max(0, at - 66)
-            for m in _SPELLED.finditer(text, lo, min(len(text), at + 100)):
-                if m.start() <= at < m.end():
-                    out.add(("email", *m.span()))
+    for near in _AT_SIGN.finditer(text):
+        at = near.start()
+        for m in _SPELLED.finditer(text, max(0, at - 66), min(len(text), at + 200)):
+            if m.start() <= at < m.end():
+                out.add(("email", *m.span()))
     if _DIGIT.search(text):
+        out.update(("ip", *m.span()) for m in _BROKEN_IP.finditer(text))
         for m in _NUMBER.finditer(text):
             parts = [m.span()]
             if m.end() - m.start() > 8:
                 parts += [p.span() for p in _PART.finditer(text, *m.span())]
+            if m.end() - m.start() > 40:  # several numbers in a row: what consecutive groups make
+                groups = [g.span() for g in re.finditer(r"\+?\(?[0-9]+", text[m.start() : m.end()])]
+                parts += [(m.start() + g[0], m.start() + h[1]) for i, g in enumerate(groups) for h in groups[i : i + MOST_GROUPS]]
             for s, e in parts:
                 n = len(_digits(text[s:e])) if e - s <= 64 else 0
                 if 6 <= n <= 19 and e - s <= 40:
@@ -132,7 +153,8 @@ def features(text: str, span: Span) -> list[float]:
         float(KINDS.index(kind)), float(len(body)), float(sum(sizes)), float(len(groups)), float(max(sizes)), float(min(sizes)), float(sizes[0]),
         float(body.count(" ")), float(body.count("-")), float(body.count(".")), float(body.count("(")), float("@" in body), float(body[:1] == "+"),
         float(sum(c.isalpha() for c in body)), float(prev.isalnum()), float(after.isalnum()), float(prev in ("", " ", "\n")),
-        float(after in ("", " ", "\n", ".", ",")), *[float(any(w in cue for w in before)) for cue in _CUES],
+        float(after in ("", " ", "\n", ".", ",")), float(_WORDS.findall(body)[-1].lower() in _DOMAINS), float(len(_digits(body)) >= 13 and _luhn(_digits(body))),
+        float("[.]" in body or "(.)" in body or " . " in body), *[float(any(w in cue for w in before)) for cue in _CUES],
     ]
 
 
@@ -213,22 +235,100 @@ def train(sample: pd.DataFrame) -> tuple[Boosted | None, dict[str, float]]:
         # Scores that tie must be on one side.
         precise = [j for j in precise if j + 1 == len(ps) or ps[j + 1] < ps[j]]
         if len(precise):
-            limits[kind] = float(max(0.5, ps[precise[-1]]))
+            # Midway to the next score below: every limit in between has the same precision on the held-out rows.
+            last = precise[-1]
+            limits[kind] = float(max(0.5, (ps[last] + (ps[last + 1] if last + 1 < len(ps) else 0.0)) / 2))
     return model, limits
 
 
+def _broken(kind: str, value: str, r: np.random.Generator) -> str:
+    """value, a span of a known format, in a format that the base patterns don't know."""
+    pick = lambda *options: options[int(r.integers(len(options)))]
+    if kind == "email":
+        name, _, host = value.partition("@")
+        return name + pick(" at ", " (at) ", "(at)", " [at] ", " @ ") + host.replace(".", pick(" dot ", " (dot) ", "(dot)", " [dot] "))
+    if kind == "ip":
+        return value.replace(".", pick("[.]", "(.)", " . "))
+    digits = _digits(value)
+    if kind == "card":
+        return pick(".", "/", "  ", " - ").join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    digits = digits[-10:].rjust(10, "5")
+    return pick("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}").format(digits[:3], digits[3:6], digits[6:])
+
+
+def _made_up(kind: str, r: np.random.Generator) -> str:
+    number = lambda n: "".join(map(str, r.integers(0, 10, n)))
+    if kind == "email":
+        letters = "".join(chr(97 + c) for c in r.integers(0, 26, 12))
+        return f"{letters[:5]}@{letters[5:]}.{_DOMAINS[int(r.integers(len(_DOMAINS)))]}"
+    if kind == "ip":
+        return ".".join(map(str, r.integers(0, 256, 4)))
+    if kind == "card":
+        body = "4" + number(14)
+        return next(body + str(d) for d in range(10) if _luhn(body + str(d)))
+    return f"+1{number(10)}"
+
+
+def _other_meaning(kind: str, r: np.random.Generator) -> str:
+    """Something that a generator proposes as this kind and that isn't personal."""
+    n = r.integers(0, 10, 16)
+    if kind == "email":
+        return f"look at {_NO_ADDRESS[int(n[0]) % 6]} dot {_NO_ADDRESS[int(n[1]) % 6]}"
+    if kind == "ip":
+        return ".".join(map(str, n[:4])) + "." + str(n[4]) if n[5] % 2 else " . ".join(map(str, n[:4]))
+    if kind == "card":
+        return f"978-{n[0]}-{n[1]}{n[2]}-{''.join(map(str, n[3:9]))}-{n[9]}"
+    return f"{1900 + 10 * n[0] + n[1]}-{1900 + 10 * n[2] + n[3]}" if n[4] % 2 else f"{n[0]}{n[1]}.{n[2]}{n[3]}.{n[4]}{n[5]}"
+
+
+def planted(text: str, base: list[Span], r: np.random.Generator) -> Iterator[tuple[str, Span, int]]:
+    """(window, place of the example, label): pieces of text with an example in them."""
+    for i, kind in enumerate(KINDS):
+        own = [s for s in base if s[0] == kind]
+        if own:
+            _, s, e = own[int(r.integers(len(own)))]
+            before, value, after, label = text[max(0, s - WINDOW) : s], _broken(kind, text[s:e], r), text[e : e + WINDOW], 1
+            yield before + value + after, (kind, len(before), len(before) + len(value)), label
+        for label in (1, 0):
+            at = int(r.integers(len(text) + 1))
+            words = _BEFORE[kind] if label else _OTHER
+            value = _broken(kind, _made_up(kind, r), r) if label else _other_meaning(kind, r)
+            before = f"{text[max(0, at - WINDOW) : at]} {words[int(r.integers(len(words)))]} "
+            yield f"{before}{value} {text[at : at + WINDOW]}", (kind, len(before), len(before) + len(value)), label
+
+
+def _maybe_broken(text: str, c: Span) -> bool:
+    """Whether a candidate that nobody planted may be personal data in a broken format, and so is no sure negative."""
+    kind, body = c[0], text[c[1] : c[2]]
+    sizes = [len(g) for g in re.findall(r"[0-9]+", body)]
+    return (
+        kind == "email" or (kind == "ip" and _IP.fullmatch(body) is None) or (kind == "card" and _luhn(_digits(body)))
+        or (kind == "phone" and (sizes[-3:] == [3, 3, 4] or body[:1] == "+"))
+    )
+
+
+def examples(text: str, seed: int) -> Iterator[tuple[list[float], int]]:
+    """(features, label) of the candidates of a document's windows and of its own."""
+    base = base_spans(text)
+    for window, (kind, s, e), label in planted(text, base, np.random.default_rng(seed)):
+        for c in candidates(window):
+            if c[1] < e and s < c[2]:
+                yield features(window, c), int(label and c == (kind, s, e))
+    taken = _merged(base)
+    for c in candidates(text)[:SAMPLE_SPANS]:
+        if not _maybe_broken(text, c) and not _touches(taken, c):
+            yield features(text, c), 0
+
+
 def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
-        for text, h in zip(batch["text"], batch["h"]):
-            known = {(s, e) for _, s, e in base_spans(text)}
-            rows += [(features(text, c), int((c[1], c[2]) in known), int(h % 4)) for c in candidates(text)[:SAMPLE_SPANS]]
+        rows = [(*x, int(h % 4)) for text, h in zip(batch["text"], batch["h"]) for x in examples(text, int(h))]
         yield pd.DataFrame(rows, columns=["features", "label", "fold"])
 
 
 def sample_of(docs: DataFrame, text: str, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Training candidates of about `sample_docs` of the documents with a digit or at-sign, chosen by a hash of the row."""
-    some = docs.filter(F.col(text).rlike("[0-9@]"))
+    """Training candidates of about `sample_docs` of the documents with a text, chosen by a hash of the row."""
+    some = docs.filter(F.col(text) != "")
     share = min(1.0, sample_docs / max(1, some.count()))
     h = F.pmod(F.xxhash64(packed(docs)), F.lit(1 << 40))
     chosen = some.select(F.col(text).alias("text"), h.alias("h")).filter(F.col("h") < int(share * (1 << 40)))
@@ -277,7 +377,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", sample_docs: int = S
     """docs with n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans and n_added.
 
     Spans are kind:start:end in code points, end exclusive, by kind, then start. A null text counts as empty:
-    no spans, and the hash of "". Repeated rows are scanned one by one; an empty table gives an empty one.
+    no spans, and the hash of "". Very long texts are scanned whole. Input columns named like a result column give way. Repeated rows are scanned one by one; an empty table gives an empty one.
     """
     rows = sample_of(docs, text, sample_docs).toPandas()
     rows["features"] = rows["features"].map(tuple)
@@ -288,7 +388,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", sample_docs: int = S
         empty = ([0] * len(KINDS), hashlib.sha256(b"").hexdigest(), "", 0)
         out = []
         for t in texts:
-            if not isinstance(t, str) or not ("@" in t or _DIGIT.search(t)):
+            if not isinstance(t, str):
                 out.append(empty)
                 continue
             base, added = scan(t, model, limits)

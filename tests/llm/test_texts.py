@@ -307,6 +307,39 @@ def test_personal_data(spark):
     assert "555" not in pii.redacted(row["text"], row["spans"]) and "[EMAIL]" in pii.redacted(row["text"], row["spans"])
 
 
+def test_trees_find_broken_formats(spark):
+    """Formats that no base pattern knows are found, and numbers and prose of other meanings are left alone."""
+    prose = "The committee met in the large hall and talked about the plans for the coming year."
+    clean = [f"{prose} See section 3.{i} of version 2.{i}.1.4.5 and the years 1998-2004 on page {i}." for i in range(60)]
+    hidden = {
+        "email": [f"write to jane{i} (at) corp{i} (dot) com" for i in range(20)] + [f"contact joe.x{i} at mail dot example dot org" for i in range(20)],
+        "ip": [f"the server 10[.]{i}[.]7[.]21 was down" for i in range(20)],
+        "card": [f"pay with card 4111.1111.1111.1111 or {i}" for i in range(20)],
+        "phone": [f"please call (212) 555-{1000 + i} soon" for i in range(20)],
+    }
+    texts = clean + [f"{prose} Please {x}. {prose}" for xs in hidden.values() for x in xs]
+    got = {r["text"]: r for r in pii.find_personal_data(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert all(got[t]["n_added"] == 0 for t in clean)
+    for kind, xs in hidden.items():
+        found = [x for x in xs for r in [got[f"{prose} Please {x}. {prose}"]] if any(s.startswith(kind) for s in r["spans"].split(","))]
+        assert len(found) >= 0.9 * len(xs), (kind, len(found))
+
+
+def test_planted_precision_and_recall():
+    texts = [f"word{i} some more plain text of a document, {i} lines of it" for i in range(600)]
+    rows = [(*x, i % 4) for i, t in enumerate(texts[:400]) for x in pii.examples(t, i)]
+    model, limits = pii.train(pd.DataFrame(rows, columns=["features", "label", "fold"]))
+    assert set(limits) == set(pii.KINDS)
+    right = wrong = total = 0
+    for i, t in enumerate(texts[400:]):
+        for window, span, label in pii.planted(t, [], np.random.default_rng(10_000 + i)):
+            base, added = pii.scan(window, model, limits)
+            total += label
+            right += label and span in base + added
+            wrong += sum(s != span or not label for s in added)
+    assert right / total > 0.95 and right / (right + wrong) > 0.95
+
+
 def test_boosted_trees_learn_on_held_out_rows():
     r = np.random.default_rng(1)
     x = r.normal(size=(2000, 4))
