@@ -8,7 +8,7 @@ each: by default twice the share of a bin that the largest source has of all pie
 documents still fills its bins. Documents longer than a bin are cut into whole bins and a rest, which is packed like the others.
 
 Packing runs in shards of bounded size, dealt by a hash of the row, so that hot sources and clusters spread
-evenly; each shard wastes part of a bin at most over packing all at once. Texts don't travel.
+evenly; rows that repeat id, source and text are counted first and dealt `_COPIES` at a time, so that they spread too; each shard wastes part of a bin at most over packing all at once. Texts don't travel.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ CAPACITY = 2048
 PER_SOURCE = 4  #: least number of places of a source in a bin
 SHARD_DOCS = 8192
 SHARD_WORDS = 1 << 22
+_COPIES = 16  # equal rows that go to one shard together
 
 
 def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity: int, per_source: int) -> list[int]:
@@ -61,6 +62,7 @@ def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity
 
 def _pack_shard(capacity: int, per_source: int):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.loc[rows.index.repeat(rows["copies"])]
         rows = rows.sort_values(["words", "doc_id", "cluster", "piece"], ascending=[False, True, True, True]).reset_index(drop=True)
         # Only clusters with several documents here need a bit.
         several = pd.factorize(rows["cluster"].where(rows["cluster"].duplicated(keep=False)))[0]
@@ -98,12 +100,15 @@ def pack(
     if per_source is None:
         per_source = max(PER_SOURCE, math.ceil(2 * capacity * (total["most"] or 0) / max(1, words)))
     last = F.floor((F.col("size") - 1) / capacity).cast("long")
-    pieces = rows.filter("size > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    equal = rows.filter("size > 0").groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    equal = equal.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {_COPIES}"))))
+    equal = equal.withColumn("copies", F.least(F.lit(_COPIES), F.col("n") - F.col("lot") * _COPIES).cast("long")).drop("n")
+    pieces = equal.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     pieces = pieces.withColumn("first_word", F.col("piece") * capacity)
     pieces = pieces.withColumn("words", F.least(F.col("size") - F.col("first_word"), F.lit(capacity)).cast("long"))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(shards)))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "piece", "lot"), F.lit(shards)))
     schema = "doc_id long, source string, cluster long, piece long, first_word long, words long, bin_id long, bin_words long, bin_docs long"
-    packed = pieces.drop("size").groupBy("shard").applyInPandas(_pack_shard(capacity, per_source), schema)
+    packed = pieces.drop("size", "lot").groupBy("shard").applyInPandas(_pack_shard(capacity, per_source), schema)
     none = F.lit(None).cast("long")
     empty = rows.filter("size = 0").select(
         "doc_id", "source", "cluster", *[F.lit(0).cast("long").alias(c) for c in ("piece", "first_word", "words")],

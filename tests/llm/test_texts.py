@@ -415,3 +415,13 @@ def test_a_very_long_text_is_packed_in_pieces(spark):
 def test_pack_fills_bins_on_documents(spark):
     got = registry.op3_packing(spark, SF).filter("bin_id is not null").groupBy("bin_id").agg({"words": "sum"}).collect()
     assert sum(r[1] for r in got) / len(got) > 0.9 * packing.CAPACITY
+
+
+def test_rows_that_repeat_id_and_text_spread_over_shards(spark):
+    rows = [(7, "same words here", "a")] * 1000 + [(i, f"w{i} " * 20, "b") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(docs, capacity=128, shard_docs=100).collect()
+    repeated = [r for r in got if r["doc_id"] == 7]
+    assert len(repeated) == 1000 and len({r["bin_id"] for r in repeated}) == 1000
+    of_shard = Counter(r["bin_id"] >> 32 for r in repeated)
+    assert len(of_shard) > 10 and max(of_shard.values()) < 250
