@@ -6,11 +6,13 @@ shifted by one offset a source, is cut at the integers, and a document is emitte
 integer that it crosses. As the order follows size, the words taken come near the target too.
 
 The running sum has two levels: a small table of (source, size class, salt) strata holds the rows that
-come before each stratum, and a rank within the stratum does the rest. No task needs a whole source.
+come before each stratum, and a rank within the stratum does the rest. No task needs a whole source. With the
+number of rows the classes are cut finer, by further bits of the size, which leaves the order as it is.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,6 +25,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # of all words, as a fraction: 150 %
 MOST = 2  # copies of a document, and times a source's size
 SALTS = 64
+STRATUM_ROWS = 1 << 16  # about as many rows of one source, salt and (finer) class
 BROADCAST_ROWS = 1 << 16  # strata, of some 100 bytes each
 SEED = "mix-1"
 
@@ -55,6 +58,7 @@ def source_targets(strata: DataFrame, weights: Sequence[int], share: tuple[int,
 def mix(
     docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", weights: Sequence[int] = WEIGHTS,
     share: tuple[int, int] = SHARE, most: int = MOST, salts: int = SALTS, seed: str = SEED, carry: Sequence[str] | None = None,
+    stratum_rows: int = STRATUM_ROWS,
 ) -> DataFrame:
     """docs with size, source_size, target, copies and taken (size times copies), dropped ones too.
 
@@ -71,11 +75,14 @@ def mix(
         "class": F.length(F.bin("size")),
         "salt": F.coalesce(hash32(F.col("id").cast("string")), F.lit(0)) % salts,
     })
-    key = ["source", "class", "salt"]
+    finer = max(0, math.ceil(math.log2(max(1, docs.count() / (salts * stratum_rows)))))
+    # The leading bits of the size: the first one, which the class fixes, and `finer` more.
+    rows = rows.withColumn("part", F.expr(f"shiftright(size, greatest(0, class - 1 - {finer}))"))
+    key = ["source", "class", "salt", "part"]
     # A small table that three things are read from: without a cut each would count all words again.
     strata = checkpointed(rows.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     n_strata = strata.count()
-    before = F.sum("n").over(W.partitionBy("source").orderBy("class", "salt")) - F.col("n")
+    before = F.sum("n").over(W.partitionBy("source").orderBy("class", "salt", "part")) - F.col("n")
     targets = source_targets(strata, weights, share, most).withColumnRenamed("source", "t_source")
     label = F.concat(F.lit(seed), F.coalesce(F.concat(F.lit(":"), F.col("source")), F.lit("")))
     strata = (
@@ -101,7 +108,11 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: every document as often as it was drawn, columns as they were."""
+    """The mix itself: every document as often as it was drawn, columns as they were.
+
+    Documents without words can be drawn too, as the draw goes by rows; else nulls, empty and very long texts, ties, repeated
+    rows and empty tables as in mix.
+    """
     inner = docs.select(packed(docs), F.col(text).alias("t"), F.col(source).alias("s"), F.col(id).alias("i"))
     drawn = mix(inner, "t", "s", "i", **options)
     return drawn.filter("copies > 0").select(f"{ROW}.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__ls_copy")).drop("__ls_copy")
