@@ -5,18 +5,21 @@ and a prefix is an interval of the sorted keys. Rules and URLs are merged into o
 over it keeps the rules that are open at each point as a stack with one place per depth in labels: a
 rule that starts takes the place of its depth, and an entry whose key no longer begins the URL's key
 has ended. Runs are cut by top label and salt, with the (small) rules repeated for every salt, so a
-hot domain spreads over `salts` tasks.
+hot domain spreads over `salts` tasks, whose number follows the number of pages.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import ROW, ascii_lower, packed, unpacked
 
-SALTS = 64
+SALTS = 64  # at least
+ROWS_PER_SALT = 1 << 17
 #: The production rule list: host, path, action.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 DEFAULT = "allow"
@@ -44,14 +47,17 @@ def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows) if rows else none))
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT, salts: int = SALTS) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT, salts: int | None = None) -> DataFrame:
     """pages with host, path, rule and verdict. rules: (host, path, action).
 
     A rule fits its host and all subdomains if the URL's path starts with the rule's; the one with most
     labels wins, then the longest path, then the smallest action. Rules with a null or empty host fit
     nothing. A URL that no rule fits has rule null and the default verdict; null or malformed URLs have an
-    empty host and path and fit no rule. Repeated pages are judged one by one; empty tables are allowed.
+    empty host and path and fit no rule. Repeated pages are judged one by one; very long URLs are judged whole;
+    empty tables are allowed. Input columns named like a result column give way.
     """
+    if salts is None:
+        salts = max(SALTS, math.ceil(pages.count() / ROWS_PER_SALT))
     entry = F.struct(F.length("path").alias("n"), "path", "action", F.concat("host", "path").alias("rule"))
     rules = rules.select(ascii_lower(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "action").filter("host <> ''")
     rules = rules.withColumn("key", host_key(F.col("host"))).withColumn("depth", F.size(F.split("host", r"\.", -1)))
