@@ -26,6 +26,7 @@ K = 5
 SCALE = 256.0
 BLOCK = 256
 SHARD_ROWS = 1 << 16
+SHARD_BYTES = 1 << 27  # of a shard's forward indexes, so wide vectors get shards of fewer rows
 CHUNK_ROWS = 1 << 13
 #: Small inputs are cut into smaller shards, down to this, so that more than one task works.
 LEAST_SHARD = 1 << 12
@@ -47,13 +48,15 @@ def _matrix(vectors: list) -> np.ndarray:
     return out
 
 
-def _build(block: int, shards: int):
+def _build(block: int, shards: int, repeats: bool):
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([*batches, pd.DataFrame({"vec_id": pd.Series([], dtype="int64"), "v": []})])
         if rows.empty:
             return
         rows["v"] = rows["v"].map(tuple)
-        rows = rows.sort_values(["vec_id", "v"]).drop_duplicates("vec_id")
+        rows = rows.sort_values(["vec_id", "v"])
+        if not repeats:
+            rows = rows.drop_duplicates("vec_id")
         shard = TaskContext.get().partitionId() % shards
         for at in range(0, len(rows), block):
             part = rows.iloc[at : at + block]
@@ -111,21 +114,24 @@ def search_blocks(query_ids: np.ndarray, queries: np.ndarray, blocks: list[tuple
     return row, ident, score.astype(np.int64), scored
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, block: int = BLOCK, shard_rows: int = SHARD_ROWS, chunk_rows: int = CHUNK_ROWS, least_shard: int = LEAST_SHARD) -> DataFrame:
+def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, block: int = BLOCK, shard_rows: int = SHARD_ROWS, chunk_rows: int = CHUNK_ROWS, least_shard: int = LEAST_SHARD, repeats: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score) for queries (query_id, v) against candidates (vec_id, v), v an array of longs.
 
     A candidate with the query's id is left out. Ties go to smaller ids. Rows with a null id or vector take
-    no part. Of rows that share an id the one with the smallest vector counts. Vectors of unlike lengths
+    no part. Of candidates that share an id each counts with `repeats`, else the one with the smallest vector; of
+    queries that share an id the one with the smallest vector asks. Vectors of unlike lengths
     compare as if padded with zeros. Fewer than k candidates give fewer rows; empty tables give none. Scores
     beyond 64 bits wrap.
     """
     queries = queries.filter("query_id is not null and v is not null").groupBy("query_id").agg(F.min("v").alias("v"))
     candidates = candidates.filter("vec_id is not null and v is not null").select("vec_id", "v")
-    n, n_queries = candidates.count(), queries.count()
+    n, width = candidates.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    n_queries = queries.count()
+    shard_rows = max(1, min(shard_rows, SHARD_BYTES // (8 * max(1, width))))
     wanted = max(1, candidates.sparkSession.sparkContext.defaultParallelism)
     shards = max(1, math.ceil(n / shard_rows), min(wanted, n // least_shard))
     chunks = max(1, math.ceil(n_queries / chunk_rows))
-    blocks = candidates.repartitionByRange(shards, "vec_id").mapInPandas(_build(block, shards), "shard int, ids binary, rows binary")
+    blocks = candidates.repartitionByRange(shards, "vec_id").mapInPandas(_build(block, shards, repeats), "shard int, ids binary, rows binary")
     blocks = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     queries = queries.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
     queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

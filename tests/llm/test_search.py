@@ -59,3 +59,26 @@ def test_oracle(spark):
     want = sorted(duckdb.sql(topk_search.ORACLE).fetchall())
     got = registry.op1_topk_search(spark, SF).select("query_id", "rank", "vec_id", "score").collect()
     assert sorted(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("options", [{}, {"block": 3, "shard_rows": 20, "chunk_rows": 2, "least_shard": 5}])
+def test_every_row_of_a_repeated_id_is_a_candidate(spark, options):
+    r = random.Random(2)
+    rows = [(i // 2, [r.choice([-1.0, 0.0, 0.5]) for _ in range(4)]) for i in range(80)] + [(1, [5.0] * 4), (1, [9.0] * 4), (1, [9.0] * 4)]
+    got = topk_search.nearest(table(spark, rows), every=10, repeats=True, **options).collect()
+    quant = [(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows]
+    asks, want = {}, []
+    for i, q in quant:
+        if i % 10 == 0:
+            asks[i] = min(asks.get(i, q), q)
+    for i, q in asks.items():
+        best = sorted((-sum(a * b for a, b in zip(q, w)), j) for j, w in quant if j != i)[:5]
+        want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_wide_vectors_get_smaller_shards(spark, monkeypatch):
+    rows = [(i, [float((i * 7 + d) % 5) for d in range(6)]) for i in range(60)]
+    want = sorted(map(tuple, topk_search.nearest(table(spark, rows), every=10).collect()))
+    monkeypatch.setattr(topk_search, "SHARD_BYTES", 10 * 8 * 6)
+    assert sorted(map(tuple, topk_search.nearest(table(spark, rows), every=10).collect())) == want
