@@ -418,7 +418,7 @@ def test_pack_fills_bins_on_documents(spark):
 
 
 def test_rows_that_repeat_id_and_text_spread_over_shards(spark):
-    rows = [(7, "same words here", "a")] * 1000 + [(i, f"w{i} " * 20, "b") for i in range(1000)]
+    rows = [(7, "same words here", "a")] * 1000 + [(i, f"w{i} " * 20, "b") for i in range(1000, 2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = packing.pack(docs, capacity=128, shard_docs=100).collect()
     repeated = [r for r in got if r["doc_id"] == 7]
