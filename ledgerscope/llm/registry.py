@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, mixing, packing, pii, secrets, substring_dedup, topk_search, url_filter
+from . import exact_dedup, jaccard_join, language_id, mixing, packing, period_runs, pii, secrets, substring_dedup, topk_search, url_filter
 from .common import table
 
 
@@ -58,10 +59,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs, digest=True).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", period_runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return period_runs.digests(period_runs.find_runs(docs, carry=["doc_id"]))
+
+
 def queries() -> dict:
     every = (
         op1_topk_search, op2_mixing, op3_packing, op4_exact_dedup, op5_pii, op6_jaccard_join, op7_url_filter, op8_language_id,
-        op9_secrets, op10_substring_dedup,
+        op9_secrets, op10_substring_dedup, op11_periodic_runs,
     )
     return {"pipeline": corpus_pipeline.run, **{f.__name__: f for f in every}}
 
@@ -71,5 +77,6 @@ def oracle_sql() -> dict[str, str]:
         "pipeline": corpus_pipeline.ORACLE_SQL, "op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE,
         "op4_exact_dedup": exact_dedup.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_url_filter": url_filter.ORACLE,
         "op9_secrets": secrets.ORACLE, "op10_substring_dedup": substring_dedup.ORACLE,
+        "op11_periodic_runs": period_runs.ORACLE,
     }
     return {name: text for name, text in sql.items() if text}
