@@ -161,3 +161,13 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, by: str, hot: list, ho
     every = F.sequence(F.lit(0), F.when(is_hot, salts - 1).otherwise(0))
     right = right.withColumn("__ls_salt", F.explode(every))
     return left.join(right, [key, "__ls_salt"], how).drop("__ls_salt")
+
+
+#: For oracle SQL: a common table expression with the table of CRC-32, and the checksum of an ASCII text beside it.
+CRC_STEPS = """steps AS (SELECT list(t ORDER BY b) AS crc FROM (SELECT range AS b,
+  list_reduce(list_prepend(range, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256)))"""
+
+
+def crc32_sql(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)"

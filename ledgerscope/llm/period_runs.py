@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD
+from .common import CRC_STEPS, WORD, crc32_sql
 
 LEAST, POWER = 6, 4
 #: Words that one grammar covers, and rows that are turned into Python strings at once.
@@ -284,14 +284,10 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 # Runs by definition: pairs of equal words q apart, their unbroken stretches, and of stretches with one extent the smallest period.
-ORACLE = """
-WITH RECURSIVE
-bits AS (SELECT range AS b, list_reduce(list_prepend(range, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256)),
-steps AS (SELECT list(t ORDER BY b) AS crc FROM bits),
-hashed AS (SELECT doc_id, text, row_number() OVER () AS k,
-  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
-    lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM documents, steps),
-split AS (SELECT doc_id, k, h, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM hashed),
+ORACLE = rf"""
+WITH {CRC_STEPS},
+hashed AS (SELECT doc_id, text, row_number() OVER () AS k, {crc32_sql("doc_id::VARCHAR")} AS h FROM documents, steps),
+split AS (SELECT doc_id, k, h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM hashed),
 facts AS (SELECT *, len(w) AS n, h // 10 AS g FROM split),
 cut AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM facts),
 words AS (SELECT doc_id, k, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word

@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, mixing, packing, period_runs, pii, secrets, substring_dedup, topk_search, url_filter, warc
+from . import conversation_repair, exact_dedup, jaccard_join, language_id, mixing, packing, period_runs, pii, secrets, substring_dedup, topk_search, url_filter, warc
 from .common import table
 
 
@@ -64,6 +64,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return period_runs.digests(period_runs.find_runs(docs, carry=["doc_id"]))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.report(conversation_repair.repair(conversation_repair.damaged(conversations)), conversations)
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.archive_pages(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -72,7 +77,7 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     every = (
         op1_topk_search, op2_mixing, op3_packing, op4_exact_dedup, op5_pii, op6_jaccard_join, op7_url_filter, op8_language_id,
-        op9_secrets, op10_substring_dedup, op11_periodic_runs, op13_warc,
+        op9_secrets, op10_substring_dedup, op11_periodic_runs, op12_conversation_repair, op13_warc,
     )
     return {"pipeline": corpus_pipeline.run, **{f.__name__: f for f in every}}
 
@@ -82,6 +87,7 @@ def oracle_sql() -> dict[str, str]:
         "pipeline": corpus_pipeline.ORACLE_SQL, "op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE,
         "op4_exact_dedup": exact_dedup.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_url_filter": url_filter.ORACLE,
         "op9_secrets": secrets.ORACLE, "op10_substring_dedup": substring_dedup.ORACLE,
-        "op11_periodic_runs": period_runs.ORACLE, "op13_warc": warc.ORACLE,
+        "op11_periodic_runs": period_runs.ORACLE, "op12_conversation_repair": conversation_repair.ORACLE,
+        "op13_warc": warc.ORACLE,
     }
     return {name: text for name, text in sql.items() if text}
