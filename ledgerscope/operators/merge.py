@@ -15,7 +15,8 @@ from ledgerscope.functions.expr import canonical_json
 from ledgerscope.schemas import Table
 
 
-def _null(names: Sequence[str]) -> Column:
+def null_in(names: Sequence[str]) -> Column:
+    """Whether one of these columns is null."""
     found = F.lit(False)
     for name in names:
         found = found | F.col(name).isNull()
@@ -34,26 +35,31 @@ def first_wins(new: DataFrame, table: Table, seq: str, stored: DataFrame | None
 
     Rows that lack a required column are dropped; rows with a null in the key are all kept.
     """
-    new = new.filter(~_null(table.required))
-    loose = new.filter(_null(table.key)).select(*table.names)
-    keyed = winners(new.filter(~_null(table.key)), table.key, seq).select(*table.names)
+    new = new.filter(~null_in(table.required))
+    loose = new.filter(null_in(table.key)).select(*table.names)
+    keyed = winners(new.filter(~null_in(table.key)), table.key, seq).select(*table.names)
     if stored is None:
         return keyed.unionByName(loose)
     keyed = keyed.join(stored.select(*table.key), list(table.key), "left_anti").select(*table.names)
     return stored.select(*table.names).unionByName(keyed).unionByName(loose)
 
 
+def required_or_error(rows: DataFrame, table: Table, seq: str) -> DataFrame:
+    """rows, of which one that lacks a required column fails the query."""
+    for name in table.required:
+        problem = F.raise_error(F.concat(F.lit(f"NOT NULL constraint: {name} in row "), F.col(seq).cast("string")))
+        rows = rows.withColumn(name, F.coalesce(F.col(name), problem.cast(table.schema[name].dataType)))
+    return rows
+
+
 def last_wins(new: DataFrame, table: Table, seq: str, stored: DataFrame | None = None) -> DataFrame:
     """Insert-or-replace: a new row wins over a stored one, a later new one over earlier ones, as a whole row.
 
     A row that lacks a required column fails the query; rows with a null in the key are all kept.
     """
-    checked = new
-    for name in table.required:
-        problem = F.raise_error(F.concat(F.lit(f"NOT NULL constraint: {name} in row "), F.col(seq).cast("string")))
-        checked = checked.withColumn(name, F.coalesce(F.col(name), problem.cast(table.schema[name].dataType)))
-    loose = checked.filter(_null(table.key)).select(*table.names)
-    keyed = winners(checked.filter(~_null(table.key)), table.key, seq, last=True).select(*table.names)
+    checked = required_or_error(new, table, seq)
+    loose = checked.filter(null_in(table.key)).select(*table.names)
+    keyed = winners(checked.filter(~null_in(table.key)), table.key, seq, last=True).select(*table.names)
     if stored is None:
         return keyed.unionByName(loose)
     kept = stored.join(keyed.select(*table.key), list(table.key), "left_anti").select(*table.names)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerscope.functions.expr import at, blank_to_null, strict_double, strict_long, typed
-from ledgerscope.operators.merge import first_wins, last_wins
 from ledgerscope.schemas import TABLES
 from ledgerscope.sources.city import CATALOGUE, Workspace
 from ledgerscope.sources.seeds import LINE, parsed, read_lines, read_rows, read_seed
@@ -54,38 +53,29 @@ def suppliers_of(contracts: DataFrame, city_slug: str) -> DataFrame:
 def build(spark: SparkSession, workspace: Workspace, root: str, procurements: Iterable[str] = (), contracts: Iterable[str] = ()) -> str:
     """Merges a city's configuration, seeds and collected files into the store at root; returns the new version."""
     city = workspace.city
-    kept = {t: store.read(spark, root, t) for t in TABLES}
     values = [(city.slug, city.name, city.uf, city.ibge_code, city.municipality_cnpj)]
     cities = spark.createDataFrame(values, TABLES["cities"].schema).withColumn("seq", F.lit(0))
     catalogue = read_seed(spark, str(workspace.root / "sources.csv"), CATALOGUE, seq=True).withColumn("city_slug", F.lit(city.slug))
-    out = {
-        "cities": last_wins(cities, TABLES["cities"], "seq", kept["cities"]),
-        "sources": last_wins(catalogue, TABLES["sources"], "seq", kept["sources"]),
-    }
+    changes: dict[str, store.First | store.Last] = {"cities": store.Last(cities), "sources": store.Last(catalogue)}
     for table in ("officials", "fiscal_observations", "legislative_observations"):
-        out[table] = last_wins(seed_table(spark, workspace, table), TABLES[table], "seq", kept[table])
+        changes[table] = store.Last(seed_table(spark, workspace, table))
     offered = _ordered(seed_table(spark, workspace, "procurements", blanks=True), -1)
     collected = read_rows(spark, procurements, TABLES["procurements"])
-    offered = offered.unionByName(collected.withColumn("seq", F.col("seq").cast(_SEQ)))
-    out["procurements"] = first_wins(offered, TABLES["procurements"], "seq", kept["procurements"])
+    changes["procurements"] = store.First(offered.unionByName(collected.withColumn("seq", F.col("seq").cast(_SEQ))))
     lines = read_rows(spark, contracts, TABLES["contracts"])
-    out["contracts"] = first_wins(lines, TABLES["contracts"], "seq", kept["contracts"])
-    out["suppliers"] = first_wins(suppliers_of(lines, city.slug), TABLES["suppliers"], "seq", kept["suppliers"])
-    return store.publish(spark, root, out)
+    changes["contracts"] = store.First(lines)
+    changes["suppliers"] = store.First(suppliers_of(lines, city.slug))
+    return store.merge(spark, root, changes)[0]
 
 
 def ingest_events(spark: SparkSession, root: str, revenue: Iterable[str] = (), expense: Iterable[str] = ()) -> dict[str, int]:
     """Merges normalised revenue and expense events into the store, last wins; returns the rows read of each.
 
-    Nothing is inferred: sources must carry their URL, time and hash. Missing files count as empty.
+    Nothing is inferred: sources must carry their URL, time and hash. Missing files count as empty. The rows are
+    counted by the write that takes them in.
     """
-    out, counts = {}, {}
-    for table, paths in (("revenue_events", revenue), ("expense_events", expense)):
-        rows = read_rows(spark, paths, TABLES[table], missing_ok=True)
-        counts[table] = rows.count()
-        out[table] = last_wins(rows, TABLES[table], "seq", store.read(spark, root, table))
-    store.publish(spark, root, out)
-    return counts
+    paths = {"revenue_events": revenue, "expense_events": expense}
+    return store.merge(spark, root, {t: store.Last(read_rows(spark, p, TABLES[t], missing_ok=True)) for t, p in paths.items()})[1]
 
 
 def quarantined(spark: SparkSession, paths: Iterable[str], table: str) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerscope.functions.expr import at, typed
-from ledgerscope.operators.merge import last_wins
 from ledgerscope.plans import store
 from ledgerscope.schemas import TABLES
 from ledgerscope.sources.seeds import parsed
@@ -22,13 +21,16 @@ def event_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def upsert_stream(events: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:
-    """Merges each micro-batch into the store, last wins by observed_at; a repeated batch changes nothing."""
+    """Merges each micro-batch into the buckets of the store that it touches, last wins by observed_at; a repeated batch changes nothing.
+
+    Rows of one time go by a hash of the row, so that the same one wins whenever the batch is repeated.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
             spark = batch.sparkSession
-            rows = last_wins(batch.withColumn("seq", F.col("observed_at")), TABLES[table], "seq", store.read(spark, root, table))
-            store.publish(spark, root, {table: rows})
+            seq = F.struct("observed_at", F.xxhash64(*TABLES[table].names).alias("tie"))
+            store.merge(spark, root, {table: store.Last(batch.withColumn("seq", seq))})
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
