@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # JSON texts that count as missing in a chain of alternatives.
@@ -45,12 +45,27 @@ def typed(variant: Column, kind: str, path: str = "") -> Column:
     return F.when(~F.substring(value, 1, 1).isin("{", "["), value).otherwise(F.when(~nested, value))
 
 
-def chosen(alternatives: Sequence[Column], default: Column | None = None) -> Column:
-    """first_truthy for alternatives that are columns already: a plain CASE, compiled with what surrounds it."""
-    chain = F.when(truthy(alternatives[0]), alternatives[0])
-    for v in alternatives[1:]:
-        chain = chain.when(truthy(v), v)
-    return chain.otherwise(alternatives[-1] if default is None else default)
+def truthy_text(text: Column, variant: Column) -> Column:
+    """truthy(variant) where its text is known: only short texts that zero, false or an empty value could have look at the VARIANT."""
+    unsure = (F.length(text) <= 5) & F.substring(text, 1, 1).isin("0", "-", "f", "{", "[", "n")
+    return F.when(text.isNull() | (text == ""), False).when(unsure, truthy(variant)).otherwise(True)
+
+
+def plain_text(text: Column, variant: Column) -> Column:
+    """The text of a value, null if that is an object or list; only what looks like one looks at the VARIANT."""
+    nested = F.schema_of_variant(variant).rlike("^(OBJECT|ARRAY)")
+    return F.when(~F.substring(text, 1, 1).isin("{", "["), text).when(text.isNotNull() & ~nested, text)
+
+
+def exploded(rows: DataFrame, column: str) -> DataFrame:
+    """A row for each element of a VARIANT list, as pos and value in the list's place; none for anything that isn't a list.
+
+    The list is walked as it is, without a round trip through text.
+    """
+    name = f"`{column}`"
+    kept = ", ".join(f"t.`{c}`" for c in rows.columns if c != column)
+    listed = rows.filter(F.schema_of_variant(F.col(name)).startswith("ARRAY"))
+    return rows.sparkSession.sql(f"SELECT {kept}{', ' if kept else ''}e.pos, e.value FROM {{listed}} t, LATERAL variant_explode(t.{name}) e", listed=listed)
 
 
 def ustrip(text: Column) -> Column:

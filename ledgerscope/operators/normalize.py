@@ -6,12 +6,11 @@ keys that differ by case apart and tells 0, "" and {} from missing.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerscope.functions.expr import at, chosen, first_truthy, truthy, typed
+from ledgerscope.functions.expr import at, exploded, first_truthy, plain_text, truthy_text, typed
 from ledgerscope.schemas import TABLES
 from ledgerscope.sources.city import CityConfig
 
@@ -80,13 +79,16 @@ CONTRACT_KEYS = {
     "updated_at": "dataAtualizacao",
 }
 
+#: Keys that no column is read from alone.
+_LINKS = {"": "linkSistemaOrigem"}
+
 _KIND = {"text": "string", "int": "bigint", "real": "double"}
 
 
 def _place(key: str) -> tuple[str, str]:
     """The VARIANT column and path of a key: org. and unit. keys lie in the resolved objects."""
     base, _, rest = key.partition(".")
-    return (f"__{base}", rest) if rest else ("record", key)
+    return (f"__{base}_variant", rest) if rest else ("record", key)
 
 
 def _name(key: str) -> str:
@@ -94,25 +96,68 @@ def _name(key: str) -> str:
     return "__" + key.encode().hex()
 
 
+def _members(json: Column, keys: list[str]) -> Column:
+    """The members of a JSON object as a struct of texts (the JSON itself of nested values), all in one pass."""
+    schema, names = (T.StructType([T.StructField(f(k), T.StringType()) for k in keys]) for f in (lambda k: _place(k)[1], _name))
+    return F.from_json(json, schema).cast(names)
+
+
 def _staged(rows: DataFrame, keys: dict[str, str], objects: dict[str, list[str]]) -> DataFrame:
-    """rows with the nested objects, then every alternative of a chain, as columns: each is evaluated once."""
-    rows = rows.withColumns({f"__{name}": first_truthy([at(F.col("record"), p) for p in paths]) for name, paths in objects.items()})
-    tried = {k: _place(k) for chain in keys.values() for k in chain.split() if " " in chain and not k.startswith("city.")}
-    return rows.withColumns({_name(k): at(F.col(base), path) for k, (base, path) in tried.items()})
+    """rows with the nested objects and, as structs, the text of every key in use.
+
+    A record and its objects are read once each; the VARIANT is asked again only where a text doesn't settle what the
+    value is.
+    """
+    used = sorted({k for chain in keys.values() for k in chain.split() if not k.startswith("city.")})
+    tops = [k for k in used if "." not in k] + [p for paths in objects.values() for p in paths]
+    rows = rows.withColumn("__json", F.to_json("record")).withColumn("__record", _members(F.col("__json"), tops))
+    for name, paths in objects.items():
+        *tried, last = paths
+        found, text = at(F.col("record"), last), _object_text(last)
+        for path in reversed(tried):
+            is_there = _truthy(path)
+            found, text = F.when(is_there, at(F.col("record"), path)).otherwise(found), F.when(is_there, _object_text(path)).otherwise(text)
+        rows = rows.withColumns({f"__{name}_variant": found, f"__{name}_json": text})
+    return rows.withColumns({f"__{name}": _members(F.col(f"__{name}_json"), [k for k in used if k.startswith(f"{name}.")]) for name in objects})
+
+
+def _object_text(path: str) -> Column:
+    """The JSON of a member that is an object; null for others, a string that reads like an object included."""
+    text = _text(path)
+    return F.when(text.startswith("{") & F.contains("__json", F.lit(f'"{path}":{{')), text)
+
+
+def _text(key: str) -> Column:
+    base = key.partition(".")[0] if "." in key else "record"
+    return F.col(f"__{base}.{_name(key)}")
+
+
+def _variant(key: str) -> Column:
+    base, path = _place(key)
+    return at(F.col(base), path)
+
+
+def _truthy(key: str) -> Column:
+    return truthy_text(_text(key), _variant(key))
 
 
-def _variant(chain: str, city: CityConfig) -> Column:
-    """The VARIANT that a chain of staged alternatives gives."""
-    values = [F.col(_name(k)) for k in chain.split() if not k.startswith("city.")]
-    default = [F.parse_json(F.lit(json.dumps(getattr(city, k[5:])))) for k in chain.split() if k.startswith("city.")]
-    return chosen(values, *default)
+def _typed(key: str, kind: str) -> Column:
+    """The value of a key as string, bigint or double."""
+    text = _text(key)
+    if kind == "string":
+        return plain_text(text, _variant(key))
+    base, path = _place(key)
+    simple = text.rlike(r"^-?[0-9]{1,15}$" if kind == "bigint" else r"^-?[0-9]{1,15}([.][0-9]{1,10})?$")
+    return F.when(simple, text.try_cast(kind)).when(text.isNotNull(), typed(F.col(base), kind, path))
 
 
 def _value(chain: str, kind: str, city: CityConfig) -> Column:
-    if " " in chain:
-        return typed(_variant(chain, city), kind)
-    base, path = _place(chain)
-    return typed(F.col(base), kind, path)
+    """The first truthy key of a chain; else the city's value, or the last key as it is."""
+    *tried, last = chain.split()
+    default = F.lit(getattr(city, last[5:])).cast(kind) if last.startswith("city.") else _typed(last, kind)
+    for key in reversed(tried):
+        default = F.when(_truthy(key), _typed(key, kind)).otherwise(default)
+    return default
 
 
 def _normalized(rows: DataFrame, table: str, keys: dict[str, str], objects: dict, city: CityConfig, more: dict[str, Column]) -> DataFrame:
@@ -120,7 +165,7 @@ def _normalized(rows: DataFrame, table: str, keys: dict[str, str], objects: dict
     kept = [F.col(c) for c in rows.columns if c not in kinds and c != "record"]
     columns = {name: _value(chain, _KIND[kinds[name]], city) for name, chain in keys.items()}
     columns |= {"city_slug": F.lit(city.slug), "source_system": F.lit(SOURCE_SYSTEM), "observed_at": F.col("observed_at"), "snapshot_sha256": F.col("snapshot_sha256")} | more
-    return _staged(rows, keys, objects).select(*[columns[name].alias(name) for name in TABLES[table].names], *kept)
+    return _staged(rows, keys | _LINKS, objects).select(*[columns[name].alias(name) for name in TABLES[table].names], *kept)
 
 
 def procurements(rows: DataFrame, city: CityConfig) -> DataFrame:
@@ -133,11 +178,14 @@ def contracts(rows: DataFrame, city: CityConfig) -> DataFrame:
 
     source_url is the detail address where agency, year and sequence are there, else the record's link or ''.
     """
-    parts = [at(F.col("__org"), "cnpj"), at(F.col("record"), "anoContrato"), _variant(CONTRACT_KEYS["sequence"], city)]
-    complete = truthy(parts[0]) & truthy(parts[1]) & truthy(parts[2])
-    link = at(F.col("record"), "linkSistemaOrigem")
-    detail = F.format_string(CONTRACT_DETAIL, *[typed(p, "string") for p in parts])
-    url = F.when(complete, detail).when(truthy(link), typed(link, "string")).otherwise("")
+    chain = CONTRACT_KEYS["sequence"]
+    *tried, last = chain.split()
+    numbered = _truthy(last)
+    for key in tried:
+        numbered = numbered | _truthy(key)
+    complete = _truthy("org.cnpj") & _truthy("anoContrato") & numbered
+    detail = F.format_string(CONTRACT_DETAIL, _typed("org.cnpj", "string"), _typed("anoContrato", "string"), _value(chain, "string", city))
+    url = F.when(complete, detail).when(_truthy("linkSistemaOrigem"), _typed("linkSistemaOrigem", "string")).otherwise("")
     return _normalized(rows, "contracts", CONTRACT_KEYS, CONTRACT_OBJECTS, city, {"source_url": url})
 
 
@@ -149,7 +197,6 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
     body = F.when((F.col("status_code") == 204) | (F.trim("body") == ""), "{}").otherwise(F.col("body"))
     v = F.parse_json(body)
     listed = first_truthy([at(v, "data"), at(v, "content")])
-    items = F.from_json(F.to_json(listed), "array<string>")
     kept = [c for c in pages.columns if c not in ("body", "status_code", "collected_at", "sha256")]
-    rows = pages.select(*kept, F.col("collected_at").alias("observed_at"), F.col("sha256").alias("snapshot_sha256"), F.posexplode(items).alias("pos", "item"))
-    return rows.withColumn("record", F.parse_json("item")).drop("item")
+    rows = pages.select(*kept, F.col("collected_at").alias("observed_at"), F.col("sha256").alias("snapshot_sha256"), listed.alias("__listed"))
+    return exploded(rows, "__listed").withColumnRenamed("value", "record")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.functions.expr import at, first_truthy, folded, holds, typed
+from ledgerscope.functions.expr import at, exploded, first_truthy, folded, holds, typed
 from ledgerscope.sources.city import CityConfig
 
 # The sphere of municipal bodies and the power of each branch.
@@ -54,10 +54,8 @@ def active_modalities(payload: DataFrame, column: str = "payload") -> DataFrame:
     """
     v = F.try_parse_json(column)
     listed = F.when(F.schema_of_variant(v).rlike("^ARRAY"), v).otherwise(first_truthy([at(v, p) for p in ("data", "content", "items")]))
-    entries = payload.select(F.from_json(F.to_json(listed), "array<string>").alias("rows")).select(F.explode("rows").alias("row"))
-    entry = F.try_parse_json("row")
-    entries = entries.filter(F.col("row").startswith("{")).select(
-        F.to_json(at(entry, "id")).alias("id"), F.coalesce(F.to_json(at(entry, "statusAtivo")), F.lit("null")).alias("active")
+    entries = exploded(payload.select(listed.alias("listed")), "listed").filter(F.schema_of_variant("value").startswith("OBJECT")).select(
+        F.to_json(at(F.col("value"), "id")).alias("id"), F.coalesce(F.to_json(at(F.col("value"), "statusAtivo")), F.lit("null")).alias("active")
     )
     number = F.regexp_extract("id", r'^"?(-?[0-9]+)"?$', 1)
     ids = entries.filter("active <> 'false'").filter((number != "") & ~F.col("id").startswith('"-')).select(number.cast("long").alias("id")).distinct()

@@ -24,6 +24,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """rows over all cores where their scan has fewer parts than that: parsing records costs far more than one small shuffle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _contracts(spark: SparkSession, sf_dir: str, city: bool = False, loose: bool = False) -> DataFrame:
     """Line items as contracts; loose ones lack the supplier on line 1."""
     supplier = _t(spark, sf_dir, "supplier")
@@ -143,7 +149,7 @@ def request_grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_procurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the portal's loose JSON, with keys that differ by case and falsy alternatives."""
-    rows = _t(spark, sf_dir, "orders").join(_t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = _spread(_t(spark, sf_dir, "orders")).join(_t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     rows = rows.join(_t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     odd = F.col("o_orderkey") % 2 == 1
     record = F.struct(
@@ -173,7 +179,7 @@ def scope_procurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "lineitem").join(_t(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = _spread(_t(spark, sf_dir, "lineitem")).join(_t(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     rows = rows.join(_t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     even = F.col("l_orderkey") % 2 == 0
     org = F.struct(F.lpad(F.col("l_suppkey").cast("string"), 14, "0").alias("cnpj"), F.col("s_name").alias("nome"), F.lit("M").alias("esfera"), F.col("l_returnflag").alias("poder"))
