@@ -7,7 +7,9 @@ anything parses them, so that a re-planned query never asks the source again.
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -18,7 +20,9 @@ from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Addresses, request parameters, page sizes, pauses and retry limits of the public portal.
 PROCUREMENTS_URL = "https://pncp.gov.br/api/consulta/v1/contratacoes/publicacao"
@@ -119,38 +123,77 @@ def is_last(payload: dict, page: int, page_size: int) -> bool:
 
 PAGES = (
     "series long, page long, source_id string, requested_url string, final_url string, status_code int, content_type string, "
-    "collected_at string, body binary, stopped boolean"
+    "collected_at string, body binary, stopped boolean, last boolean"
 )
 
 
-def fetch_series(series: int, url: str, params: dict, source_id: str, page_size: int, pause: float, fetch: Fetch, get=patient_get, sleep: Sleep = time.sleep) -> Iterator[dict]:
-    """The pages of one series, in order, until the last; a status that stays retryable is kept and ends the series."""
-    page = 1
-    while True:
+class Pacer:
+    """Slots for requests, `pause` apart over all tasks together: each task has every tasks-th slot, its own one first.
+
+    A task that was late waits for its next slot and doesn't catch up, so no stretch of time holds more requests than slots.
+    """
+
+    def __init__(self, pause: float, task: int, tasks: int, sleep: Sleep = time.sleep, clock: Callable[[], float] = time.monotonic) -> None:
+        self.step, self.sleep, self.clock = pause * tasks, sleep, clock
+        self.due = clock() + pause * (task % tasks)
+
+    def wait(self) -> None:
+        late = self.clock() - self.due
+        if self.step > 0 and late > 0:
+            self.due += self.step * math.ceil(late / self.step)
+        if (rest := self.due - self.clock()) > 0:
+            self.sleep(rest)
+        self.due += self.step
+
+    def paced(self, fetch: Fetch) -> Fetch:
+        """fetch, with a slot for every request, repeated ones too."""
+
+        def slotted(url: str, params: dict) -> Response:
+            self.wait()
+            return fetch(url, params)
+
+        return slotted
+
+
+def fetch_series(
+    series: int, url: str, params: dict, source_id: str, page_size: int, fetch: Fetch, get=patient_get, sleep: Sleep = time.sleep, *, page: int = 1, limit: int | None = None,
+) -> Iterator[dict]:
+    """The pages of one series from `page` on, in order, until the last, or `limit` of them; a status that stays retryable is kept and ends the series."""
+    for nth in itertools.count(1):
         asked = {**params, "pagina": page, "tamanhoPagina": page_size}
         answer = get(fetch, url, asked, page=page, sleep=sleep)
         stopped = answer.status in RETRYABLE
         if answer.status >= 400 and not stopped:
             raise RuntimeError(f"status {answer.status} from {url}?{urlencode(asked)}")
         requested = f"{url}?{urlencode(asked)}"
+        last = not stopped and is_last(page_facts(answer), page, page_size)
         yield {
             "series": series, "page": page, "source_id": source_id if not stopped else f"{source_id}_limitada", "requested_url": requested,
             "final_url": answer.url or requested, "status_code": answer.status, "content_type": answer.content_type,
-            "collected_at": datetime.now(timezone.utc).isoformat(), "body": answer.body, "stopped": stopped,
+            "collected_at": datetime.now(timezone.utc).isoformat(), "body": answer.body, "stopped": stopped, "last": last,
         }
-        if stopped or is_last(page_facts(answer), page, page_size):
+        if stopped or last or nth == limit:
             return
         page += 1
-        sleep(pause)
 
 
-def fetch_pages(grid: DataFrame, url: str, source_id: str, page_size: int, pause: float, fetch: Fetch = http_get, get=patient_get, sleep: Sleep = time.sleep, parallel: int = 4) -> DataFrame:
-    """grid (series, params as JSON) as raw pages (see PAGES); `parallel` tasks at most talk to the source at once."""
+def fetch_pages(
+    grid: DataFrame, url: str, source_id: str, page_size: int, pause: float, fetch: Fetch = http_get, get=patient_get, sleep: Sleep = time.sleep, parallel: int = 4,
+    *, limit: int | None = None, clock: Callable[[], float] = time.monotonic,
+) -> DataFrame:
+    """grid (series, params as JSON, and next, the first page to ask for, if there is such a column) as raw pages (see PAGES).
+
+    `parallel` tasks at most talk to the source at once, and share one budget of a request every `pause` seconds.
+    `limit` ends each series after so many pages.
+    """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = TaskContext.get()
+        pacer = Pacer(pause, context.partitionId() if context else 0, parallel, sleep, clock)
         for batch in batches:
-            for series, params in zip(batch["series"], batch["params"]):
-                for row in fetch_series(int(series), url, json.loads(params), source_id, page_size, pause, fetch, get, sleep):
+            for series, params, page in zip(batch["series"], batch["params"], batch["next"]):
+                for row in fetch_series(int(series), url, json.loads(params), source_id, page_size, pacer.paced(fetch), get, sleep, page=int(page), limit=limit):
                     yield pd.DataFrame([row])
 
-    return grid.select("series", "params").repartition(parallel, "series").mapInPandas(work, PAGES)
+    first = F.col("next") if "next" in grid.columns else F.lit(1)
+    return grid.select("series", "params", first.cast("long").alias("next")).repartition(parallel, "series").mapInPandas(work, PAGES)
