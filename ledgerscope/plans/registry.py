@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerscope.functions import expr as E
 from ledgerscope.functions.windows import date_windows, request_grid, windows_between
-from ledgerscope.operators import concentration, merge, normalize, provenance, scope
+from ledgerscope.operators import audit, concentration, merge, normalize, provenance, scope
 from ledgerscope.schemas import TABLES, Table
 from ledgerscope.sources.city import CityConfig
 
@@ -90,13 +90,6 @@ def events_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.last_wins(rows, _EVENTS, "seq")
 
 
-def upsert_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of two thirds of the events only, as its SQL has it; upsert_all_events merges them all."""
-    rows = _t(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", F.col("event_id").alias("seq"))
-    stored = merge.last_wins(rows.filter("event_id % 3 = 0"), _EVENTS, "seq")
-    return merge.last_wins(rows.filter("event_id % 3 = 1"), _EVENTS, "seq", stored)
-
-
 def upsert_all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd events arrive at a store that has the even ones: every event is on one side."""
     rows = _t(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", F.col("event_id").alias("seq"))
@@ -280,6 +273,30 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.coverage(rows, stops).select("complete", "records", "stopped_url", "stopped_status")
 
 
+def coverage_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of a collection that was cut several times: the first stop counts."""
+    rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    stops = _t(spark, sf_dir, "region").select(F.col("r_name").alias("requested_url"), (F.col("r_regionkey") + 500).cast("int").alias("status_code"), F.col("r_regionkey").alias("seq"))
+    return provenance.coverage(rows, stops).select("complete", "records", "stopped_url", "stopped_status")
+
+
+def manifest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as rows against pages as snapshots: two rows a snapshot, of which some name another time of observation, and short ones none."""
+    sha = lambda c: F.sha2(c.cast("string"), 256)
+    time = lambda c: F.concat(F.lit("t"), F.col(c) % 3)
+    rows = _t(spark, sf_dir, "documents").select(F.when(F.col("n_chars") > 40, sha(F.expr("doc_id div 2"))).alias("snapshot_sha256"), time("doc_id").alias("observed_at"))
+    pages = _t(spark, sf_dir, "pages").select(sha(F.col("page_id")).alias("sha256"), time("page_id").alias("collected_at"))
+    return audit.rows_to_manifest(rows, pages)
+
+
+def expense_contract_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as expenses, purchases naming their user's contract, against orders as contracts of their customer."""
+    number = F.when(F.col("event_type") == "purchase", F.col("user_id").cast("string"))
+    expenses = _t(spark, sf_dir, "events").select(F.lit("all").alias("city_slug"), number.alias("contract_number"))
+    contracts = _t(spark, sf_dir, "orders").select(F.lit("all").alias("city_slug"), F.col("o_custkey").cast("string").alias("contract_number"))
+    return audit.expenses_to_contracts(expenses, contracts)
+
+
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = F.when(F.col("event_type").isin("purchase", "refund"), "expense_events").otherwise("revenue_events")
     return _t(spark, sf_dir, "events").groupBy(target.alias("target")).agg(F.count("*").alias("rows_read"))
@@ -292,12 +309,6 @@ def procurement_contract_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("o_orderkey", "o_totalprice", F.coalesce("contracts", F.lit(0)).alias("contracts"), "contracted")
 
 
-def config_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Required minus present: suppliers without a line item whose part key is a multiple of 7, as its SQL has it."""
-    have = _t(spark, sf_dir, "lineitem").filter("l_partkey % 7 = 0").select(F.col("l_suppkey").alias("s_suppkey"))
-    return _t(spark, sf_dir, "supplier").select("s_suppkey").subtract(have)
-
-
 def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Required minus present, over all line items: orders without any."""
     return _t(spark, sf_dir, "orders").select("o_orderkey").subtract(_t(spark, sf_dir, "lineitem").select("l_orderkey"))
@@ -305,10 +316,10 @@ def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     supplier_concentration, concentration_null_supplier, concentration_by_city, contracts_first_wins, null_key_append, distinct_seen, events_last_wins,
-    upsert_existing, insert_ignore_existing, supplier_dimension, date_windows_rollup, request_grid_cells, normalize_procurement, scope_procurements,
+    insert_ignore_existing, supplier_dimension, date_windows_rollup, request_grid_cells, normalize_procurement, scope_procurements,
     normalize_contract, scope_contracts, seed_null_normalise, cnpj_digits, cnpj_union, active_modalities, json_extract_props, expense_by_stage,
-    snapshot_hash, safe_suffix, snapshot_dedupe, new_snapshots, coverage_report, ingest_counts, procurement_contract_link, config_gaps,
-    upsert_all_events, order_gaps,
+    snapshot_hash, safe_suffix, snapshot_dedupe, new_snapshots, coverage_report, ingest_counts, procurement_contract_link,
+    upsert_all_events, order_gaps, coverage_stopped, manifest_audit, expense_contract_audit,
 )
 
 
@@ -361,9 +372,6 @@ WITH l AS (SELECT coalesce({_LOOSE}, '') AS control, l_orderkey, l_partkey, row_
 SELECT control, l_orderkey, l_partkey FROM l WHERE rn = 1""",
         "events_last_wins": """
 SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""",
-        "upsert_existing": """
-SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3 DESC, event_id DESC) AS rn
-FROM events WHERE event_id % 3 < 2) WHERE rn = 1""",
         "insert_ignore_existing": "SELECT o_orderkey, o_totalprice FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
         "supplier_dimension": """
 SELECT s_suppkey::VARCHAR AS document, s_name AS name, l_shipdate AS first_observed_at FROM (SELECT *, row_number() OVER (
@@ -407,11 +415,25 @@ SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '.json' WHEN page_id % 4 = 1 THEN
         "snapshot_dedupe": "SELECT sha256(text) AS sha256, min(doc_id) AS first_doc, count(*) AS fetches FROM documents GROUP BY 1",
         "new_snapshots": """SELECT DISTINCT sha256(text) AS sha256, octet_length(encode(text))::BIGINT AS byte_count FROM documents d WHERE doc_id % 2 = 1
 AND NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id % 2 = 0 AND e.text = d.text)""",
+        "coverage_stopped": """SELECT false AS complete, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS records,
+            arg_min(r_name, r_regionkey) AS stopped_url, (500 + min(r_regionkey))::INTEGER AS stopped_status FROM region""",
+        "manifest_audit": """
+            WITH d AS (SELECT CASE WHEN n_chars > 40 THEN sha256((doc_id // 2)::VARCHAR) END AS snapshot_sha256, 't' || (doc_id % 3) AS observed_at FROM documents),
+            l AS (SELECT CASE WHEN snapshot_sha256 IS NOT NULL THEN snapshot_sha256 END AS k, CASE WHEN snapshot_sha256 IS NOT NULL THEN observed_at END AS t, count(*) AS n FROM d GROUP BY 1, 2),
+            r AS (SELECT sha256(page_id::VARCHAR) AS k, 't' || (page_id % 3) AS t, count(*) AS n FROM pages GROUP BY 1, 2)
+            SELECT coalesce(l.k, r.k) AS snapshot_sha256, coalesce(l.t, r.t) AS observed_at, coalesce(l.n, 0) AS sources, coalesce(r.n, 0) AS targets,
+                CASE WHEN l.n IS NULL THEN 'never_referred_to' WHEN l.k IS NULL THEN 'no_reference' WHEN r.n IS NULL THEN 'target_missing' ELSE 'matched' END AS class
+            FROM l FULL JOIN r ON l.k = r.k AND l.t = r.t""",
+        "expense_contract_audit": """
+            WITH l AS (SELECT CASE WHEN event_type = 'purchase' THEN user_id::VARCHAR END AS k, count(*) AS n FROM events GROUP BY 1),
+            r AS (SELECT o_custkey::VARCHAR AS k, count(*) AS n FROM orders GROUP BY 1)
+            SELECT CASE WHEN coalesce(l.k, r.k) IS NOT NULL THEN 'all' END AS city_slug, coalesce(l.k, r.k) AS contract_number, coalesce(l.n, 0) AS sources, coalesce(r.n, 0) AS targets,
+                CASE WHEN l.n IS NULL THEN 'never_referred_to' WHEN l.k IS NULL THEN 'no_reference' WHEN r.n IS NULL THEN 'target_missing' ELSE 'matched' END AS class
+            FROM l FULL JOIN r ON l.k = r.k""",
         "coverage_report": """SELECT true AS complete, count(*) AS records, NULL::VARCHAR AS stopped_url, NULL::INTEGER AS stopped_status FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
         "ingest_counts": "SELECT CASE WHEN event_type IN ('purchase', 'refund') THEN 'expense_events' ELSE 'revenue_events' END AS target, count(*) AS rows_read FROM events GROUP BY 1",
         "procurement_contract_link": """SELECT o_orderkey, o_totalprice, count(l_orderkey) AS contracts, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS contracted
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""",
-        "config_gaps": "SELECT s_suppkey FROM supplier EXCEPT SELECT l_suppkey FROM lineitem WHERE l_partkey % 7 = 0",
         "upsert_all_events": """
 SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY abs(event_id) % 2 DESC, event_id DESC) AS rn
 FROM events) WHERE rn = 1""",

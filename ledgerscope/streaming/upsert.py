@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ledgerscope.functions.expr import at, typed
+from ledgerscope.functions.expr import at, canonical_json, typed
 from ledgerscope.plans import store
 from ledgerscope.schemas import TABLES
 from ledgerscope.sources.seeds import parsed
@@ -35,6 +39,27 @@ def upsert_stream(events: DataFrame, root: str, table: str, checkpoint: str) ->
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def distinct_seen_stream(rows: DataFrame, control: str, seq: Sequence[str]) -> DataFrame:
+    """The first row of each control number of a stream, over all its micro-batches; rows without one are told apart by all their columns.
+
+    Within a micro-batch the least by seq is the first; ties go by the other columns, so a repeated batch gives the same row. The
+    state is one flag a key. Rows of a hot key pass in frames of bounded size, of which one row is kept.
+    """
+    columns = rows.columns
+    order = [*seq, *[c for c in columns if c not in seq]]
+
+    def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = None
+        for frame in frames:
+            best = pd.concat([f for f in (best, frame[columns]) if f is not None]).sort_values(order, kind="stable").head(1)
+        if not state.exists:
+            state.update((True,))
+            yield best
+
+    identity = F.coalesce(F.nullif(F.col(control), F.lit("")), canonical_json(columns))
+    return rows.withColumn("__key", identity).groupBy("__key").applyInPandasWithState(first, rows.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+
+
 def totals_by_window(events: DataFrame, time: str, value: str, group: str, window: str = "1 day", late: str = "2 days") -> DataFrame:
     """Sums of a value by time window and group; rows later than `late` behind the newest are left out."""
     timed = events.withColumn("at", F.try_to_timestamp(F.col(time))).withWatermark("at", late)
