@@ -26,6 +26,8 @@ def arguments() -> argparse.ArgumentParser:
         one.add_argument("--end", type=date.fromisoformat, required=True)
         one.add_argument("--scope", choices=[*BRANCH_POWER], default="executivo")
         one.add_argument("--out")
+        one.add_argument("--resume", action="store_true", help="go on after the pages that earlier runs have logged")
+        one.add_argument("--replay", action="store_true", help="take all pages from the archive, without a request")
     one.add_argument("--from-procurements", action="append", default=[])
     one.add_argument("--agency-cnpj", action="append", default=[])
     one = commands.add_parser("build-db")
@@ -46,10 +48,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     elif args.command == "collect-pages":
         said = collect.as_json(collect.collect_pages(workspace.sources(spark), args.out or str(raw / "pages")))
     elif args.command == "collect-pncp":
-        said = collect.collect_procurements(spark, workspace.city, args.start, args.end, args.out or str(raw / "pncp"), args.scope)
+        said = collect.collect_procurements(spark, workspace.city, args.start, args.end, args.out or str(raw / "pncp"), args.scope, resume=args.resume, replay=args.replay)
     elif args.command == "collect-pncp-contracts":
         cnpjs = collect.union_cnpjs(spark, workspace.city, args.agency_cnpj, args.from_procurements)
-        said = collect.collect_contracts(spark, workspace.city, args.start, args.end, args.out or str(raw / "pncp_contracts"), cnpjs, args.scope)
+        said = collect.collect_contracts(spark, workspace.city, args.start, args.end, args.out or str(raw / "pncp_contracts"), cnpjs, args.scope, resume=args.resume, replay=args.replay)
     elif args.command == "build-db":
         build.build(spark, workspace, args.db or tables, args.pncp, args.contracts)
         said = args.db or tables

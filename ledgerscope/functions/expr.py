@@ -74,8 +74,13 @@ def ustrip(text: Column) -> Column:
 
 
 def folded(text: Column) -> Column:
-    """For comparisons that ignore case and outer white space; accents count."""
-    return F.lower(ustrip(text))
+    """For comparisons that ignore case and outer white space; accents count.
+
+    Full case folding, up to which letter stands for a class: by way of capitals, so that ß is ss. The dotless i, whose capital
+    is I, keeps apart under a character that no text has, and the final sigma is a sigma.
+    """
+    apart = F.upper(F.translate(ustrip(text), "ı", "\uFDD0"))
+    return F.translate(F.lower(F.replace(apart, F.lit("ẞ"), F.lit("SS"))), "ς\uFDD0", "σı")
 
 
 def digits(text: Column) -> Column:

@@ -14,8 +14,8 @@ def by_city(contracts: DataFrame, money: str = "decimal(28,6)") -> DataFrame:
     """Suppliers of each city with contracts, known_global_value, share of the city's total and the label.
 
     The total counts contracts without a supplier document too, so shares may add up to less than 1; a total of
-    zero gives null shares. One document under two names is two rows. One scan: contracts are grouped once,
-    and the city's total is added up over the groups, as decimals.
+    zero gives null shares. One document under two names is two rows. Contracts are grouped by supplier, and
+    the city's total is added up over the groups, as decimals; both sides of their join group anew unless the plan reuses the exchange.
     """
     value = F.col("global_value").cast(money)
     groups = contracts.filter("global_value is not null").groupBy("city_slug", "supplier_document", "supplier_name")

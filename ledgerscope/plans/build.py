@@ -55,7 +55,7 @@ def build(spark: SparkSession, workspace: Workspace, root: str, procurements: It
     city = workspace.city
     values = [(city.slug, city.name, city.uf, city.ibge_code, city.municipality_cnpj)]
     cities = spark.createDataFrame(values, TABLES["cities"].schema).withColumn("seq", F.lit(0))
-    catalogue = read_seed(spark, str(workspace.root / "sources.csv"), CATALOGUE, seq=True).withColumn("city_slug", F.lit(city.slug))
+    catalogue = read_seed(spark, str(workspace.catalogue), CATALOGUE, seq=True).withColumn("city_slug", F.lit(city.slug))
     changes: dict[str, store.First | store.Last] = {"cities": store.Last(cities), "sources": store.Last(catalogue)}
     for table in ("officials", "fiscal_observations", "legislative_observations"):
         changes[table] = store.Last(seed_table(spark, workspace, table))

@@ -104,3 +104,34 @@ def test_safe_suffix(spark):
 def test_cnpj(spark):
     rows = spark.createDataFrame([("13.927.801/0001-49",), ("13927801000149",), ("123",)], "c string")
     assert [r[0] for r in rows.filter(E.is_cnpj(F.col("c"))).select(E.digits(F.col("c"))).distinct().collect()] == ["13927801000149"]
+
+
+def test_case_folding_has_the_classes_of_python(spark):
+    """Letters up to U+2FFF are the same here just where they are the same there."""
+    letters = [chr(c) for c in range(0x21, 0x3000) if not chr(c).isspace() and chr(c) not in "\x85\u1c89\u1c8a"]
+    rows = spark.createDataFrame([(c,) for c in letters], "c string").select("c", E.folded(F.col("c")).alias("f")).collect()
+    here, there = {}, {}
+    for r in rows:
+        here.setdefault(r["f"], set()).add(r["c"])
+        there.setdefault(r["c"].casefold(), set()).add(r["c"])
+    apart = lambda classes: {frozenset(x) for x in classes.values() if not x & {"\u0264"}}  # noqa: E731  # its capital is newer than Python's tables
+    assert apart(here) == apart(there)
+    pairs = [("STRASSE", "Stra\u00dfe"), ("\u039f\u0394\u039f\u03a3", "\u03bf\u03b4\u03bf\u03c2"), ("\u0130", "i\u0307"), (" S\u00e3o ", "S\u00c3O")]
+    frame = spark.createDataFrame([*pairs, ("\u0131", "i"), ("a", "\u00e1")], "a string, b string")
+    assert [r[0] for r in frame.select(E.folded(F.col("a")) == E.folded(F.col("b"))).collect()] == [True] * 4 + [False] * 2
+
+
+def test_an_error_row_of_collect_pages(spark, tmp_path):
+    from ledgerscope.plans import collect
+
+    def fetch(url, params):
+        from ledgerscope.sources.paged import Response
+
+        if "gone" in url:
+            raise ValueError("no such page")
+        return Response(200, b"<p>x</p>", "text/html", url)
+
+    sources = spark.createDataFrame([("a", "http://h/ok"), ("b", " http://h/gone "), ("", "http://h/x")], "id string, url string")
+    got = {r["source_id"]: r.asDict() for r in collect.collect_pages(sources, str(tmp_path), fetch).collect()}
+    assert got["a"]["ok"] and got["a"]["status"] == 200 and got["a"]["error"] is None and len(got["a"]["sha256"]) == 64
+    assert not got["b"]["ok"] and got["b"]["sha256"] is None and "no such page" in got["b"]["error"] and len(got) == 2
