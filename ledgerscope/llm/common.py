@@ -38,11 +38,12 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names. Where none is set, a local session gets one of its own; a cluster has to name one."""
+    """The folder that spark.checkpoint.dir names. Where none is set, a session in one process gets one of its own; a cluster has to name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster[...] has executors of its own
         raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     return _local_folder()
 
