@@ -6,6 +6,8 @@ orders are procurements, events are expense events, pages and documents are snap
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerscope.functions import expr as E
 from ledgerscope.functions.windows import date_windows, request_grid, windows_between
 from ledgerscope.operators import audit, concentration, merge, normalize, provenance, scope
+from ledgerscope.plans import store
 from ledgerscope.schemas import TABLES, Table
 from ledgerscope.sources.city import CityConfig
 
@@ -314,12 +317,57 @@ def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "orders").select("o_orderkey").subtract(_t(spark, sf_dir, "lineitem").select("l_orderkey"))
 
 
+def _store_root(spark: SparkSession) -> str:
+    """A new store's folder in the shared folder of the session, or a temporary one where all runs in one process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="ledgerscope-")
+    return f"{shared}/store-{uuid.uuid4().hex}"
+
+
+def _as_table(rows: DataFrame, table: str, **columns) -> DataFrame:
+    """rows as a table of the model, with null in columns that aren't given, and seq."""
+    fields = TABLES[table].schema.fields
+    return rows.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields], columns["seq"].alias("seq"))
+
+
+def _merged_in_two(spark: SparkSession, rows: DataFrame, table: str, kind: type, later: str) -> DataFrame:
+    """A table of a new store after two merges of one kind: the rows that aren't `later`, then those that are."""
+    root = _store_root(spark)
+    for condition in (f"not ({later})", later):
+        store.merge(spark, root, {table: kind(rows.filter(condition))})
+    return store.read(spark, root, table)
+
+
+def store_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as expenses of their user, in two merges: a later one wins, within a merge the last event."""
+    text = lambda c: F.col(c).cast("string")
+    rows = _as_table(
+        _t(spark, sf_dir, "events"), "expense_events", city_slug=F.lit("all"), source_system=F.lit("x"), event_key=text("user_id"), stage=F.lit("paid"),
+        agency_code=text("event_id"), agency_name=F.col("event_type"), gross_value=F.col("value"), source_url=F.lit("u"), observed_at=F.lit("t"), seq=F.col("event_id"),
+    )
+    return _merged_in_two(spark, rows, "expense_events", store.Last, "coalesce(gross_value < 20, false)").select("event_key", "agency_code", "agency_name", "gross_value")
+
+
+def store_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as procurements of their part, in two merges: an earlier one wins, within a merge the first line; lines of one supplier have no key and all stay."""
+    control = F.when(F.col("l_suppkey") != 1, F.col("l_partkey").cast("string"))
+    rows = _as_table(
+        _t(spark, sf_dir, "lineitem"), "procurements", city_slug=F.lit("all"), source_system=F.lit("x"), pncp_control_number=control,
+        process_number=F.concat_ws("-", "l_orderkey", "l_linenumber"), year=F.col("l_linenumber"), observed_at=F.lit("t"), seq=F.struct("l_orderkey", "l_linenumber"),
+    )
+    return _merged_in_two(spark, rows, "procurements", store.First, "year > 3").select("pncp_control_number", "process_number", "year")
+
+
 _QUERIES = (
     supplier_concentration, concentration_null_supplier, concentration_by_city, contracts_first_wins, null_key_append, distinct_seen, events_last_wins,
     insert_ignore_existing, supplier_dimension, date_windows_rollup, request_grid_cells, normalize_procurement, scope_procurements,
     normalize_contract, scope_contracts, seed_null_normalise, cnpj_digits, cnpj_union, active_modalities, json_extract_props, expense_by_stage,
     snapshot_hash, safe_suffix, snapshot_dedupe, new_snapshots, coverage_report, ingest_counts, procurement_contract_link,
-    upsert_all_events, order_gaps, coverage_stopped, manifest_audit, expense_contract_audit,
+    upsert_all_events, order_gaps, coverage_stopped, manifest_audit, expense_contract_audit, store_last_wins, store_first_wins,
 )
 
 
@@ -415,6 +463,13 @@ SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '.json' WHEN page_id % 4 = 1 THEN
         "snapshot_dedupe": "SELECT sha256(text) AS sha256, min(doc_id) AS first_doc, count(*) AS fetches FROM documents GROUP BY 1",
         "new_snapshots": """SELECT DISTINCT sha256(text) AS sha256, octet_length(encode(text))::BIGINT AS byte_count FROM documents d WHERE doc_id % 2 = 1
 AND NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id % 2 = 0 AND e.text = d.text)""",
+        "store_last_wins": """
+            WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(value < 20, false) DESC, event_id DESC) AS r FROM events WHERE user_id IS NOT NULL)
+            SELECT user_id::VARCHAR AS event_key, event_id::VARCHAR AS agency_code, event_type AS agency_name, value AS gross_value FROM ranked WHERE r = 1""",
+        "store_first_wins": """
+            WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber > 3, l_orderkey, l_linenumber) AS r FROM lineitem WHERE l_suppkey <> 1)
+            SELECT l_partkey::VARCHAR AS pncp_control_number, l_orderkey || '-' || l_linenumber AS process_number, l_linenumber::BIGINT AS year FROM ranked WHERE r = 1
+            UNION ALL SELECT NULL, l_orderkey || '-' || l_linenumber, l_linenumber::BIGINT FROM lineitem WHERE l_suppkey = 1""",
         "coverage_stopped": """SELECT false AS complete, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS records,
             arg_min(r_name, r_regionkey) AS stopped_url, (500 + min(r_regionkey))::INTEGER AS stopped_status FROM region""",
         "manifest_audit": """
