@@ -12,7 +12,7 @@ from ledgerscope.llm.common import written
 def test_registry():
     names = list(__spark_entry__.queries())
     assert [n for n in names if n == "pipeline" or n.startswith("op")][0] == "pipeline"
-    assert {re.match(r"op(\d+)_", n)[1] for n in names if re.match(r"op\d+_", n)} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in names if re.match(r"op\d+_", n)} == {str(i) for i in range(1, 14)}
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
