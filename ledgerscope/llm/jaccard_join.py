@@ -1,20 +1,25 @@
 """N-gram Jaccard join over a token-group matrix: every link counts, the result is connected components.
 
-Tokens. A document is a set of n word shingles. Sets with a similarity of t or more share ceil(t n) shingles at least, so
-for any k up to that they share k of the first n - ceil(t n) + k in any order that all sets use. The order is by rising
-frequency, as counted over all documents in a table of fixed size (CELLS counters of hashed shingles); k is a
-fortieth of n. So a document's tokens in the matrix are its rarest shingles (a fifth of them at 0.8), and one that
-shares too few of them with others has no link. The counts decide how much is opened, never what is linked.
+Tokens. A document is a set of n word shingles. Sets of n and m >= n with a similarity of t or more share t / (1 + t) * (n + m)
+shingles at least: ceil(2 t n / (1 + t)) by the smaller one's size, ceil(t m) by the larger one's. So for any k up to that they share k tokens
+of the smaller set's first n - ceil(2 t n / (1 + t)) + k, its short tokens, with the larger set's first m - ceil(t m) + k, in any
+order that all sets use. The order is by rising frequency, as counted over all documents in a table of fixed size
+(CELLS counters of hashed shingles); k is a fortieth of n. So a document's tokens in the matrix are its rarest
+shingles (a fifth of them at 0.8, a ninth as short ones), and one that shares too few of them with others has no link. Documents
+of one template, where many shingles are common and a few are their own, have mostly their own as short tokens, and
+don't meet. The counts decide how much is opened, never what is linked.
 
 Groups. Documents that overlap enough with the smallest set on one of their tokens take that set as their label; labels
-are cut into groups bounded in documents and in shingles. Each group is opened with itself, and with the first
-group of its label, which links groups of copies without trying all pairs. In the next step the documents of a
-group that are connected to its label stand for one group over all cuts, the others of it for another.
+are cut into groups bounded in documents and in shingles. Each group is opened with itself, and where a label has several
+with some PIONEERS of its documents, which links groups of copies without trying all pairs. In the next step the documents of
+a group that are connected to its label stand for one group over all cuts, the others of it for another.
 
-Matrix. A row for each token in the union of a group's tokens. A query document's overlap with a group's union bounds
-its overlap with each member: it qualifies if they share enough tokens. A pair of groups is opened for documents that
-qualify, and only if both sides have some. In an open pair the bound is taken again over the unions of all
-shingles, then what is left is verified exactly. Components come from contraction of the links.
+Matrix. A row for each token in the union of a group's tokens, and whether it is a short token of a member. A query document's
+overlap with a group's union bounds its overlap with each member, once as the smaller set (its short tokens in the
+union) and once as the larger (its tokens in the union of short ones): it qualifies if they share enough. A pair of groups (or
+a group with itself), one for the smaller sets and one for the larger, is opened for documents that qualify, if both sides have some. In an
+open pair the bound is taken again over the unions of all shingles, blocks whose sizes differ too much are
+passed over, then what is left is verified exactly. Components come from contraction of the links.
 
 Equal sets are one set throughout. Small rows shuffle (token, set); texts only for sets that share enough tokens.
 """
@@ -30,6 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import HOT_SHARE, ROW, Scratch, bitmap, hot_join, hot_keys, packed, split_by, written
@@ -41,6 +47,8 @@ BATCH_SHINGLES = 1 << 18  # shingles opened in a task's batch, about
 EXTRA = 40  # one more token, and one more to share, for so many shingles
 BLOCK = 512  # sets on a side of one product
 FLUSH = 1 << 18  # tokens in a batch of rows
+PIONEERS = 64  # sets of a label that all its groups are compared with, about
+LARGER = 2  # a right side whose sets are compared with smaller ones only
 SLICE_ROWS = 1000  # documents whose texts are Python strings at one time
 
 CELL_BITS, SLICES, FAN_IN = 20, 64, 64  # counters of hashed shingles; parts of their table; tables added up in a task
@@ -54,8 +62,13 @@ def _shared(n, num: int, den: int):
     return least(1 + whole(n, EXTRA), whole(n * num + den - 1, den))
 
 
+def short_tokens(n: int, num: int, den: int) -> int:
+    """How many of the tokens of a set of n shingles meet those of a similar set that isn't smaller."""
+    return n + (-2 * n * num) // (num + den) + _shared(n, num, den)
+
+
 def signatures(tokens: np.ndarray, num: int, den: int, order: np.ndarray | None = None) -> np.ndarray:
-    """The tokens of a set (sorted, distinct): its shingles that come first in the order of all sets."""
+    """The tokens of a set (sorted, distinct): its shingles that come first in the order of all sets, its short tokens ahead."""
     n = len(tokens)
     first = n + (-n * num) // den + _shared(n, num, den)
     if order is None:
@@ -148,13 +161,14 @@ def shingle_order(facts: DataFrame) -> np.ndarray:
 
 
 def _tokens(size: int, num: int, den: int, order: np.ndarray):
-    """(token, fp, n) of each set, once in a partition."""
+    """(token, fp, n, short) of each set, once in a partition."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
             many = [len(s) for s in sigs]
-            columns = np.concatenate(sigs).view(np.int64), np.repeat(fps, many), np.repeat(np.array(ns, np.int32), many)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "fp", "n"])
+            short = np.concatenate([np.arange(m) < short_tokens(n, num, den) for m, n in zip(many, ns)])
+            columns = np.concatenate(sigs).view(np.int64), np.repeat(fps, many), np.repeat(np.array(ns, np.int32), many), short
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "fp", "n", "short"])
 
         sigs, fps, ns, held, seen = [], [], [], 0, set()
         for _, texts in (x for b in batches for x in _slices(b)):
@@ -208,20 +222,19 @@ def _bounded(sets: list[np.ndarray], others: list[np.ndarray], num: int, den: in
     return [i for i, s in enumerate(sets) if int(np.isin(s, union, assume_unique=True).sum()) * den >= num * len(s)]
 
 
-def links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None, num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between two groups of sets, or within one."""
-    other = left if right is None else right
-    li, ri = list(left), list(other)
-    a, b = list(left.values()), list(other.values())
-    if right is not None:
-        keep = _bounded(a, b, num, den)
-        if not keep:
-            return []
-        li, a = [li[i] for i in keep], [a[i] for i in keep]
-        keep = _bounded(b, a, num, den)
-        if not keep:
-            return []
-        ri, b = [ri[i] for i in keep], [b[i] for i in keep]
+def links(left: dict[int, np.ndarray], right: dict[int, np.ndarray], num: int, den: int, ordered: bool = False) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two groups of sets, which may share sets; if `ordered`, those where the right set isn't smaller."""
+    by_size = lambda sets: sorted(sets, key=lambda x: (len(sets[x]), x))
+    li, ri = by_size(left), by_size(right)
+    a, b = [left[x] for x in li], [right[x] for x in ri]
+    keep = _bounded(a, b, num, den)
+    if not keep:
+        return []
+    li, a = [li[i] for i in keep], [a[i] for i in keep]
+    keep = _bounded(b, a, num, den)
+    if not keep:
+        return []
+    ri, b = [ri[i] for i in keep], [b[i] for i in keep]
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -232,11 +245,14 @@ def links(left: dict[int, np.ndarray], right: dict[int, np.ndarray] | None, num:
 
     out = []
     for i in range(0, len(a), BLOCK):
-        for j in range(0 if right is not None else i, len(b), BLOCK):
+        for j in range(0, len(b), BLOCK):
             ids, others = li[i : i + BLOCK], ri[j : j + BLOCK]
+            (least, most), (from_, to) = ((len(x[k]), len(x[k : k + BLOCK][-1])) for x, k in ((a, i), (b, j)))
+            if most * den < num * from_ or to * den < num * least or (ordered and (to, others[-1]) < (least, ids[0])):
+                continue  # sizes too far apart, or compared with the sides changed
             if len({root(x) for x in (*ids, *others)}) == 1:
                 continue  # all connected by now
-            both = _overlap(a[i : i + BLOCK], b[j : j + BLOCK], right is None and i == j)
+            both = _overlap(a[i : i + BLOCK], b[j : j + BLOCK], ids == others)
             union = np.array([len(x) for x in a[i : i + BLOCK]])[:, None] + np.array([len(x) for x in b[j : j + BLOCK]])[None, :] - both
             for p, q in zip(*np.nonzero(both * den >= num * union)):
                 x, y = root(ids[p]), root(others[q])
@@ -253,8 +269,9 @@ def _verify(size: int, num: int, den: int):
         known = {fp: tokens for (tokens, _), fp in zip(_sets(once["text"].tolist(), size), once["fp"])}
         for _, rows in batch.groupby("pair"):
             sides = {side: {fp: known[fp] for fp in sorted(set(r["fp"]))} for side, r in rows.groupby("side")}
-            if len(sides.get(0, ())) + len(sides.get(1, ())) > 1 and 0 in sides:
-                out += links(sides[0], sides.get(1), num, den)
+            right = sides.get(1, sides.get(LARGER))
+            if 0 in sides and right:
+                out += links(sides[0], right, num, den, LARGER in sides)
         return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
     return verify
@@ -317,41 +334,57 @@ def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b[fresh]
 
 
+def _ends(tokens: DataFrame) -> DataFrame:
+    """(token, first, last): the smallest set, by size and hash, with this short token, and the largest with this token, where they differ."""
+    place = F.struct("n", "fp")
+    ends = tokens.groupBy("token").agg(F.min(F.when(F.col("short"), place)).alias("first"), F.max(place).alias("last"))
+    return ends.filter("first < last")
+
+
 def _matrix(every: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """(token, fp, n, centre): the tokens that several sets have, for sets with enough of them, and the smallest set on each."""
-    enough = F.col("held") >= _shared(F.ceil(F.col("n") * num / den), num, den)
-    counts = scratch.write(every.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1"))
+    """(token, fp, n, short, first): the tokens that sets may share with a set of their size or larger, and the smallest set on each."""
+    as_smaller = F.count_if(F.col("short") & (F.struct("n", "fp") < F.col("last"))) >= _shared(F.first("n"), num, den)
+    as_larger = F.count_if(F.struct("n", "fp") > F.col("first")) >= _shared(F.ceil(F.first("n") * num / den), num, den)
+    counts = scratch.write(every.groupBy("token").agg(F.count("*").alias("sets"), F.max("short").alias("met")).filter("sets > 1 and met"))
     total = counts.agg(F.sum("sets")).first()[0] or 0
     hot = [r["token"] for r in counts.filter(F.col("sets") * HOT_SHARE > total).collect()]
     some, _ = split_by(every, "token", bitmap(counts, "token"))
     tokens = scratch.write(hot_join(some, counts.select("token"), "token", "fp", hot).distinct())
     scratch.drop(every, counts)
     for _ in range(2):  # sets without enough tokens leave, then tokens that one set is left on
-        centres = tokens.groupBy("token").agg(F.min("fp").alias("centre"), F.max("fp").alias("far")).filter("centre <> far").select("token", "centre")
-        placed = scratch.write(hot_join(tokens, centres, "token", "fp", hot))
-        stay = placed.groupBy("fp").agg(F.count("*").alias("held"), F.first("n").alias("n")).filter(enough).select("fp")
+        placed = scratch.write(hot_join(tokens, _ends(tokens), "token", "fp", hot))
+        stay = placed.groupBy("fp").agg((as_smaller | as_larger).alias("stays")).filter("stays").select("fp")
         scratch.drop(tokens)
-        tokens = scratch.write(placed.join(stay, "fp").select("token", "fp", "n"))
+        tokens = scratch.write(placed.join(stay, "fp").select("token", "fp", "n", "short"))
         scratch.drop(placed)
-    centres = tokens.groupBy("token").agg(F.min("fp").alias("centre"))
-    return scratch.write(hot_join(tokens, centres, "token", "fp", hot))
+    return scratch.write(hot_join(tokens, _ends(tokens).select("token", "first"), "token", "fp", hot))
 
 
 def _first_members(matrix: DataFrame, num: int, den: int, group: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(fp, label, part, n) of all sets in the matrix, and the members (pair, side, fp, n) of each group with itself and of a label's groups with its first."""
+    """(fp, label, part, n) of all sets in the matrix, and the members (pair, side, fp, n) of each group with itself and of a label's groups with its pioneers."""
     enough = F.col("held") >= _shared(F.ceil(F.col("n") * num / den), num, den)
-    near = matrix.groupBy("fp", "centre").agg(F.count("*").alias("held"), F.first("n").alias("n")).withColumn("near", enough)
+    centre = F.when(F.struct("n", "fp") >= F.col("first"), F.col("first")).alias("centre")
+    near = matrix.groupBy("fp", centre).agg(F.count("*").alias("held"), F.first("n").alias("n"))
+    near = near.withColumn("near", enough & (F.col("centre.n") * den >= F.col("n") * num))
     label = near.groupBy("fp").agg(F.min(F.when(F.col("near"), F.col("centre"))).alias("label"), F.first("n").alias("n"))
-    label = scratch.write(label.select("fp", F.coalesce("label", "fp").alias("label"), "n"))
+    label = scratch.write(label.select("fp", F.coalesce("label.fp", "fp").alias("label"), "n"))
     sizes = label.groupBy("label").agg(F.count("*").alias("sets"), _cuts(group))
     every = scratch.write(hot_join(label, sizes, "label", "fp", hot_keys(label, "label")).withColumn("part", _part(F.col("cuts"))))
     grouped = every.filter("sets > 1")
-    pair = lambda part: F.xxhash64("label", part)
-    own = grouped.select(pair("part").alias("pair"), F.lit(0).alias("side"), "fp", "n")
-    others = grouped.filter("part > 0").select(F.xxhash64("label", F.lit(0), "part").alias("pair"), F.lit(1).alias("side"), "fp", "n")
-    of_first = grouped.filter("part = 0 and cuts > 1").withColumn("other", F.explode(F.expr("sequence(1, cuts - 1)")))
-    of_first = of_first.select(F.xxhash64("label", F.lit(0), "other").alias("pair"), F.lit(0).alias("side"), "fp", "n")
-    return every.select("fp", "label", "part", "n"), own.unionByName(of_first).unionByName(others)
+    place, w = F.struct("n", "fp"), W.partitionBy("label", "part", "token")  # a group's size at most
+    tokens = matrix.select("token", "fp", "n", "short").join(grouped.select("fp", "label", "part"), "fp")
+    tokens = tokens.withColumns({"first": F.min(F.when(F.col("short"), place)).over(w), "last": F.max(place).over(w)}).filter("first < last")
+    low, high = F.count_if(F.col("short") & (place < F.col("last"))), F.count_if(place > F.col("first"))
+    own = tokens.groupBy("label", "part", "fp").agg(F.first("n").alias("n"), low.alias("low"), high.alias("high"))
+    smaller = F.when(F.col("low") >= _shared(F.col("n"), num, den), 0)
+    larger = F.when(F.col("high") >= _shared(F.ceil(F.col("n") * num / den), num, den), LARGER)
+    own = own.select(F.xxhash64("label", "part").alias("pair"), F.explode(F.array_compact(F.array(smaller, larger))).alias("side"), "fp", "n")
+    several = grouped.filter("cuts > 1")
+    pair = lambda part: F.xxhash64("label", F.lit(0), part).alias("pair")
+    others = several.select(pair("part"), F.lit(1).alias("side"), "fp", "n")
+    pioneers = several.filter(F.pmod(F.xxhash64("fp", F.lit(1)), F.greatest(F.ceil(F.col("sets") / PIONEERS), F.col("cuts"))) == 0)
+    pioneers = pioneers.withColumn("other", F.explode(F.expr("sequence(0, cuts - 1)"))).select(pair("other"), F.lit(0).alias("side"), "fp", "n")
+    return every.select("fp", "label", "part", "n"), own.unionByName(pioneers).unionByName(others)
 
 
 def _units(sets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -372,22 +405,26 @@ def _units(sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _next_members(matrix: DataFrame, sets: DataFrame, labels: DataFrame, num: int, den: int, group: int, scratch: Scratch) -> DataFrame:
-    """The members (pair, side, fp, n) of pairs of units: documents that qualify by their overlap with the other's union."""
-    placed = matrix.select("token", "fp", "n").join(scratch.write(_units(sets, labels)), "fp")
+    """The members (pair, side, fp, n) of pairs of units, side 0 for smaller sets: documents that qualify by their overlap with the other's union."""
+    placed = matrix.select("token", "fp", "n", "short").join(scratch.write(_units(sets, labels)), "fp")
     open_ = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
     placed = scratch.write(placed.join(open_, "token"))
-    unions = placed.select("token", F.col("unit").alias("other")).distinct()
-    met = hot_join(placed, unions, "token", "fp", hot_keys(placed, "token")).filter(~F.coalesce(F.array_contains("done", F.col("other")), F.lit(False)))
-    met = met.groupBy("fp", "unit", "other").agg(F.count("*").alias("held"), F.first("n").alias("n"))
-    met = met.filter(F.col("held") >= _shared(F.ceil(F.col("n") * num / den), num, den))
-    side = (F.col("unit") > F.col("other")).cast("int").alias("side")
-    met = scratch.write(met.select(F.least("unit", "other").alias("lo"), F.greatest("unit", "other").alias("hi"), side, "fp", "n"))
+    least = F.min(F.when(F.col("short"), F.col("n"))).alias("least")
+    unions = placed.groupBy("token", F.col("unit").alias("other")).agg(least, F.max("n").alias("most"))
+    as_smaller = F.col("short") & (F.col("most") >= F.col("n"))
+    as_larger = F.coalesce(F.col("least") <= F.col("n"), F.lit(False))
+    met = hot_join(placed, unions, "token", "fp", hot_keys(placed, "token"))
+    met = met.filter((as_smaller | as_larger) & ~F.coalesce(F.array_contains("done", F.col("other")), F.lit(False)))
+    met = met.groupBy("fp", "unit", "other").agg(F.count_if(as_smaller).alias("low"), F.count_if(as_larger).alias("high"), F.first("n").alias("n"))
+    smaller = F.when(F.col("low") >= _shared(F.col("n"), num, den), F.struct(F.lit(0).alias("side"), F.col("unit").alias("lo"), F.col("other").alias("hi")))
+    larger = F.when(F.col("high") >= _shared(F.ceil(F.col("n") * num / den), num, den), F.struct(F.lit(LARGER).alias("side"), F.col("other").alias("lo"), F.col("unit").alias("hi")))
+    met = scratch.write(met.select("fp", "n", F.inline(F.array_compact(F.array(smaller, larger)))))
     sides = met.groupBy("lo", "hi", "side").agg(_cuts(group)).groupBy("lo", "hi").agg(
-        F.max(F.when(F.col("side") == 0, F.col("cuts"))).alias("cuts0"), F.max(F.when(F.col("side") == 1, F.col("cuts"))).alias("cuts1")
+        F.max(F.when(F.col("side") == 0, F.col("cuts"))).alias("cuts0"), F.max(F.when(F.col("side") == LARGER, F.col("cuts"))).alias("cuts1")
     ).filter("cuts0 is not null and cuts1 is not null")
     met = met.join(sides, ["lo", "hi"]).withColumn("own", _part(F.when(F.col("side") == 0, F.col("cuts0")).otherwise(F.col("cuts1"))))
     met = met.withColumn("other", F.explode(F.expr("sequence(0, if(side = 0, cuts1, cuts0) - 1)")))
-    places = [F.when(F.col("side") == s, F.col("own")).otherwise(F.col("other")) for s in (0, 1)]
+    places = [F.when(F.col("side") == s, F.col("own")).otherwise(F.col("other")) for s in (0, LARGER)]
     return scratch.write(met.select(F.xxhash64("lo", "hi", *places).alias("pair"), "side", "fp", "n"))
 
 
@@ -396,7 +433,7 @@ def linked_sets(docs: DataFrame, size: int, num: int, den: int, group: int = GRO
     facts = written(docs.mapInArrow(_describe(size), _FACTS))
     described = facts.filter("slice is null").select("doc_id", "rid", "n", "fp")
     with Scratch(docs.sparkSession) as scratch:
-        every = scratch.write(docs.select("text").mapInArrow(_tokens(size, num, den, shingle_order(facts)), "token long, fp long, n int"))
+        every = scratch.write(docs.select("text").mapInArrow(_tokens(size, num, den, shingle_order(facts)), "token long, fp long, n int, short boolean"))
         matrix = _matrix(every, num, den, scratch)
         sets, members = _first_members(matrix, num, den, group, scratch)
 
