@@ -4,8 +4,9 @@ A host turned round label by label ("net.example.blog.") makes "this host and it
 and a prefix is an interval of the sorted keys. Rules and URLs are merged into one sorted run; a sweep
 over it keeps the rules that are open at each point as a stack with one place per depth in labels: a
 rule that starts takes the place of its depth, and an entry whose key no longer begins the URL's key
-has ended. Runs are cut by top label and salt, with the (small) rules repeated for every salt, so a
-hot domain spreads over `salts` tasks, whose number follows the number of pages.
+has ended. Runs are cut by top label; those of hot labels are cut again by a salt, with the label's rules repeated for each, so
+that a hot domain spreads over tasks. A label has as many salts as its pages ask for, but never more than keep its
+repeated rules below its pages, so rules add no more rows than there are pages.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ROW, ascii_lower, packed, unpacked
+from .common import ROW, ascii_lower, packed, unpacked, written
 
-SALTS = 64  # at least
-ROWS_PER_SALT = 1 << 17
+ROWS_PER_SALT = 1 << 14
+HOT_TOPS = 1 << 16  # labels with a larger share of the pages than one in so many may have salts, so fewer labels than that do
 #: The production rule list: host, path, action.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 DEFAULT = "allow"
@@ -47,6 +48,16 @@ def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows) if rows else none))
 
 
+def hot_tops(pages: DataFrame, rules: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(top, salts) of the labels with more than one salt, from a row (top) for each page and each rule; HOT_TOPS rows at most."""
+    least = max(rows_per_salt, math.ceil(pages.count() / HOT_TOPS))
+    pages = pages.groupBy("top").agg(F.count("*").alias("n")).filter(F.col("n") > least)
+    rules = rules.groupBy("top").agg(F.count("*").alias("rules"))
+    most = F.floor(F.col("n") / F.greatest(F.coalesce("rules", F.lit(0)), F.lit(1)))
+    salts = F.least(F.ceil(F.col("n") / rows_per_salt), most).cast("int").alias("salts")
+    return pages.join(rules, "top", "left").select("top", salts).filter("salts > 1")
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT, salts: int | None = None) -> DataFrame:
     """pages with host, path, rule and verdict. rules: (host, path, action).
 
@@ -56,24 +67,24 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     empty host and path and fit no rule. Repeated pages are judged one by one; very long URLs are judged whole;
     empty tables are allowed. Input columns named like a result column give way.
     """
-    if salts is None:
-        salts = max(SALTS, math.ceil(pages.count() / ROWS_PER_SALT))
     entry = F.struct(F.length("path").alias("n"), "path", "action", F.concat("host", "path").alias("rule"))
     rules = rules.select(ascii_lower(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "action").filter("host <> ''")
     rules = rules.withColumn("key", host_key(F.col("host"))).withColumn("depth", F.size(F.split("host", r"\.", -1)))
     depth = rules.agg(F.max("depth")).first()[0] or 0  # one number; DNS allows 127 labels
     rules = rules.groupBy("key", "depth").agg(F.collect_set(entry).alias("entries"))
-    top = lambda key: F.substring_index(key, ".", 1)
-    rules = rules.select(
-        top(F.col("key")).alias("top"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "key",
-        F.lit(0).alias("kind"), "depth", "entries",
-    )
+    top = lambda key: F.xxhash64(F.substring_index(key, ".", 1))
+    rules = rules.select(top(F.col("key")).alias("top"), "key", F.lit(0).alias("kind"), "depth", "entries")
     rows = pages.select(packed(pages), F.col(url).alias("__ls_url"))
     host, path = host_and_path(F.col("__ls_url"))
     rows = rows.withColumns({"host": host, "path": path}).withColumn("key", host_key(F.col("host")))
-    rows = rows.withColumns({
-        "top": top(F.col("key")), "salt": F.pmod(F.xxhash64(ROW), F.lit(salts)).cast("int"), "kind": F.lit(1),
-    })
+    rows = rows.withColumns({"top": top(F.col("key")), "kind": F.lit(1)})
+    if salts is None:
+        cuts = F.broadcast(written(hot_tops(rows.select("top"), rules.select("top"))))
+        rows, rules = (t.join(cuts, "top", "left").withColumn("salts", F.coalesce("salts", F.lit(1))) for t in (rows, rules))
+    else:
+        rows, rules = (t.withColumn("salts", F.lit(salts)) for t in (rows, rules))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(ROW), F.col("salts")).cast("int")).drop("salts")
+    rules = rules.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).drop("salts")
     sweep = W.partitionBy("top", "salt").orderBy("key", "kind").rowsBetween(W.unboundedPreceding, 0)
     merged = rows.unionByName(rules, allowMissingColumns=True)
     slots = [F.last(F.when(F.col("depth") == d, F.struct("key", "entries")), ignorenulls=True).over(sweep) for d in range(depth, 0, -1)]
