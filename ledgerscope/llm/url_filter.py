@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import ROW, ascii_lower, packed, unpacked, written
 
-ROWS_PER_SALT = 1 << 14
+ROWS_PER_SALT = 1 << 17  # at most, and at most a part in SHARES of all pages
+SHARES = 64
 HOT_TOPS = 1 << 16  # labels with a larger share of the pages than one in so many may have salts, so fewer labels than that do
 #: The production rule list: host, path, action.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -48,9 +49,12 @@ def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows) if rows else none))
 
 
-def hot_tops(pages: DataFrame, rules: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+def hot_tops(pages: DataFrame, rules: DataFrame, rows_per_salt: int | None = None) -> DataFrame:
     """(top, salts) of the labels with more than one salt, from a row (top) for each page and each rule; HOT_TOPS rows at most."""
-    least = max(rows_per_salt, math.ceil(pages.count() / HOT_TOPS))
+    total = pages.count()
+    if rows_per_salt is None:
+        rows_per_salt = max(1, min(ROWS_PER_SALT, math.ceil(total / SHARES)))
+    least = max(rows_per_salt, math.ceil(total / HOT_TOPS))
     pages = pages.groupBy("top").agg(F.count("*").alias("n")).filter(F.col("n") > least)
     rules = rules.groupBy("top").agg(F.count("*").alias("rules"))
     most = F.floor(F.col("n") / F.greatest(F.coalesce("rules", F.lit(0)), F.lit(1)))
