@@ -11,7 +11,7 @@ from .common import table
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk_search.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), repeats=True)
+    return topk_search.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), each_row=True)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,43 @@ def test_wide_vectors_get_smaller_shards(spark, monkeypatch):
     want = sorted(map(tuple, topk_search.nearest(table(spark, rows), every=10).collect()))
     monkeypatch.setattr(topk_search, "SHARD_BYTES", 10 * 8 * 6)
     assert sorted(map(tuple, topk_search.nearest(table(spark, rows), every=10).collect())) == want
+
+
+SMALL = {"block": 3, "shard_rows": 20, "chunk_rows": 2, "least_shard": 5, "shelf": 2}
+
+
+@pytest.mark.parametrize("options", [{}, SMALL])
+def test_every_row_asks_and_has_all_rows_but_itself(spark, options):
+    r = random.Random(3)
+    rows = [(i // 2, [r.choice([-1.0, 0.0, 0.5]) for _ in range(4)]) for i in range(80)]
+    rows += [(10, [5.0] * 4), (10, [5.0] * 4), (10, [0.0] * 4), (10, [5.0, 5.0]), (3, None), (None, [1.0] * 4)] + [(20, [2.0] * 4)] * 9
+    got = topk_search.nearest(table(spark, rows), every=10, each_row=True, **options).collect()
+    quant = [(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows if i is not None and v is not None]
+    want = []
+    for at, (i, q) in enumerate(quant):
+        if i % 10 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, w)), j) for n, (j, w) in enumerate(quant) if n != at)[:5]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_only_shards_that_reach_the_threshold_get_a_query(spark, monkeypatch):
+    rows = [(i, [float(i // 100 == d) * (1 + i % 7) for d in range(10)]) for i in range(1000)]
+    searched, plain = [], topk_search._search
+    monkeypatch.setattr(topk_search, "_search", lambda pairs, *rest: searched.append(pairs.count()) or plain(pairs, *rest))
+    got = topk_search.nearest(table(spark, rows), each_row=True, block=25, shard_rows=50, chunk_rows=8, least_shard=50, shelf=3).collect()
+    assert len(got) == 20 * 5 and searched[0] == 20
+    assert searched[1] <= 20 * 3  # of 20 shards; each query's own range of ids spans two or three
+
+
+def test_clashing_columns_and_no_rows_for_each_row(spark):
+    rows = table(spark, [(0, [1.0]), (50, [2.0])]).selectExpr("*", "1 as v", "2 as query_id", "3 as score")
+    assert sorted(map(tuple, topk_search.nearest(rows, each_row=True).collect())) == [(0, 1, 50, 256 * 512), (50, 1, 0, 256 * 512)]
+    assert topk_search.nearest(table(spark, []), each_row=True).collect() == []
+    assert topk_search.nearest(table(spark, [(0, [1.0])]), each_row=True).collect() == []
+
+
+def test_components_beyond_64_bits_dont_crash(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1.0, 1.0]), (50, [1.0, 2.0])]
+    got = topk_search.nearest(table(spark, rows), each_row=True).collect()
+    assert {r["query_id"] for r in got} == {0, 50}
