@@ -100,7 +100,8 @@ def mix(
     rank = F.row_number().over(W.partitionBy(*key).orderBy("size", "id", "tie")) + F.col("before")
     rows = rows.join(strata, on).withColumn("rank", rank)
     crossed = lambda upto: F.floor(upto * F.col("rate") + F.col("offset"))
-    rows = rows.withColumn("copies", (crossed(F.col("rank")) - crossed(F.col("rank") - 1)).cast("long"))
+    # At a high rank the sum of rank * rate and offset rounds, which alone could give one copy more than `most`.
+    rows = rows.withColumn("copies", F.least(crossed(F.col("rank")) - crossed(F.col("rank") - 1), F.lit(most)).cast("long"))
     return unpacked(rows, carried, {
         "size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "copies": F.col("copies"),
         "taken": F.col("copies") * F.col("size"),
