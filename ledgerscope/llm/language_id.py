@@ -4,8 +4,9 @@ Every letter has a random vector of +1 and -1. A letter trigram is the product o
 rotated by its place; a document is the sum of its trigrams, and a language is the sum of its documents'
 unit vectors. A document gets the language with the highest cosine.
 
-Learning reads a bounded sample of labelled rows (`per_language` rows of each language, by a hash of the id);
-what reaches the driver is one vector per language. Prediction is a map over whole texts without a shuffle.
+Learning reads the whole text of every labelled row that isn't held out, calibration every held-out one. Both add up in
+the tasks: what reaches the driver is one vector per language and one histogram. Prediction is a map over whole texts
+without a shuffle.
 
 A cosine has noise of about 1 / sqrt(dimensions), and short texts reach less of it than long ones. So a text
 is in a language if its score reaches a limit by its number of distinct trigrams; limits are calibrated on
@@ -25,11 +26,9 @@ from pyspark.sql import functions as F
 from .common import ROW, packed, unpacked
 
 DIMENSIONS = 512
-PER_LANGUAGE = 4000
 SEED = 20
 UNKNOWN = "und"
 
-CALIBRATION = 1000  #: held-out rows a language, at most, that limits are calibrated on
 #: A limit is so much of that quantile of the true language's cosine, over LEAST values or more.
 QUANTILE, PART, LEAST = 0.01, 0.5, 20
 #: Texts are classed by distinct trigrams: 1, 2-3, 4-7, ..., 128 or more. Bins of a cosine, 0 to 1.
@@ -131,24 +130,13 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(norm == 0, 1, norm)
 
 
-def _sample(labelled: DataFrame, text: str, lang: str, id: str, per_language: int) -> DataFrame | None:
-    """(lang, text) of about per_language labelled rows of each language, by a hash of the id; None without any."""
-    labelled = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id).cast("string")).alias("h"))
-    labelled = labelled.filter("lang is not null and text is not null")
-    share = {r["lang"]: min(1.0, per_language / r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not share:
-        return None
-    chosen = F.lit(False)
-    for name, part in share.items():
-        chosen = chosen | ((F.col("lang") == name) & (F.pmod("h", F.lit(1 << 20)) < int(part * (1 << 20))))
-    return labelled.filter(chosen).select("lang", "text")
+def _labelled(rows: DataFrame, text: str, lang: str) -> DataFrame:
+    """(lang, text) of every row that has both."""
+    return rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
 
 
-def learn(labelled: DataFrame, text: str, lang: str, id: str, dimensions: int = DIMENSIONS, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """Language names and prototypes from labelled rows; sums are of integers, so reruns agree."""
-    sample = _sample(labelled, text, lang, id, per_language)
-    if sample is None:
-        return [], np.zeros((0, dimensions))
+def learn(labelled: DataFrame, text: str, lang: str, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
+    """Language names and prototypes from all labelled rows; sums are of integers, so reruns agree."""
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
@@ -161,7 +149,7 @@ def learn(labelled: DataFrame, text: str, lang: str, id: str, dimensions: int =
         if total:
             yield pd.DataFrame({"lang": list(total), "v": [v.tolist() for v in total.values()]})
 
-    parts = sample.mapInPandas(sums, "lang string, v array<long>")
+    parts = _labelled(labelled, text, lang).mapInPandas(sums, "lang string, v array<long>")
     rows = parts.select("lang", F.posexplode("v")).groupBy("lang", "pos").agg(F.sum("col").alias("v")).collect()
     names = sorted({r["lang"] for r in rows})
     protos = np.zeros((len(names), dimensions))
@@ -174,35 +162,36 @@ def _class(distinct: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(np.log2(np.maximum(distinct, 1))).astype(int), 0, CLASSES - 1)
 
 
-def calibrate(labelled: DataFrame, names: list[str], protos: np.ndarray, text: str, lang: str, id: str, dimensions: int = DIMENSIONS, per_language: int = CALIBRATION) -> np.ndarray:
-    """The least score of each class of texts, from labelled rows that nothing was learned from.
+def calibrate(labelled: DataFrame, names: list[str], protos: np.ndarray, text: str, lang: str, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """The least score of each class of texts, from all labelled rows that nothing was learned from.
 
     A class of fewer than LEAST values takes the limit of the one below; without any, the limit is 0. What
     reaches the driver is a histogram of CLASSES * BINS counts at most.
     """
     limits = np.zeros(CLASSES)
-    sample = _sample(labelled.filter(F.col(lang).isin(names)), text, lang, id, per_language) if names else None
-    if sample is None:
+    if not names:
         return limits
 
     def histogram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((CLASSES, BINS), np.int64)
         for batch in batches:
-            pieces, row = [], []
-            for name, t in zip(batch["lang"], batch["text"]):
-                words = t.split(None, _PREFIXES[-1])
-                some = [t, *(" ".join(words[:k]) for k in _PREFIXES if k < len(words))]
-                pieces += some
-                row += [names.index(name)] * len(some)
-            vectors, distinct = profiles_and_distinct(pieces, dimensions)
-            cosine = (_unit(vectors) * protos[row]).sum(1)
-            bins = np.clip((cosine * BINS).astype(int), 0, BINS - 1)
-            np.add.at(total, (_class(distinct)[distinct > 0], bins[distinct > 0]), 1)
+            for at in range(0, len(batch), _ROWS):
+                part = batch[at : at + _ROWS]
+                texts, row = part["text"].tolist(), np.array([names.index(name) for name in part["lang"]])
+                words = [t.split(None, _PREFIXES[-1]) for t in texts]
+                # A length at a time: profiles cost by the trigrams of all texts that go together, and short texts have few.
+                for k in (0, *_PREFIXES):
+                    some = [i for i, w in enumerate(words) if k < len(w) or not k]
+                    vectors, distinct = profiles_and_distinct([" ".join(words[i][:k]) if k else texts[i] for i in some], dimensions)
+                    cosine = (_unit(vectors) * protos[row[some]]).sum(1)
+                    bins = np.clip((cosine * BINS).astype(int), 0, BINS - 1)
+                    np.add.at(total, (_class(distinct)[distinct > 0], bins[distinct > 0]), 1)
         at = np.argwhere(total > 0)
         yield pd.DataFrame({"class": at[:, 0], "bin": at[:, 1], "n": total[total > 0]})
 
+    held = _labelled(labelled, text, lang).filter(F.col("lang").isin(names))
     counts = np.zeros((CLASSES, BINS), np.int64)
-    for r in sample.mapInPandas(histogram, "class int, bin int, n long").groupBy("class", "bin").agg(F.sum("n").alias("n")).collect():
+    for r in held.mapInPandas(histogram, "class int, bin int, n long").groupBy("class", "bin").agg(F.sum("n").alias("n")).collect():
         counts[r["class"], r["bin"]] = r["n"]
     for k in range(CLASSES):
         n = counts[k].sum()
@@ -239,18 +228,18 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", dimensions: int = DIMENSIONS, per_language: int = PER_LANGUAGE) -> DataFrame:
+def identify(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", dimensions: int = DIMENSIONS) -> DataFrame:
     """docs with held_out, lang_pred and score; learned from the rows that aren't held out and have a lang.
 
     A null text, one without letters, or a table without labels gives `und` and score 0. A null id isn't
     held out. Equal texts get equal answers; an empty table gives an empty one. `score` is the cosine, 0 to 1.
     """
-    names, protos = learn(docs.filter(~held_out(F.col(id))), text, lang, id, dimensions, per_language)
+    names, protos = learn(docs.filter(~held_out(F.col(id))), text, lang, dimensions)
     rows = docs.select(packed(docs), held_out(F.col(id)).alias("out"), predictor(names, protos, dimensions)(F.col(text)).alias("p"))
     return unpacked(rows, docs.columns, {"held_out": F.col("out"), "lang_pred": F.col("p.lang"), "score": F.col("p.score")})
 
 
-def drop_unknown(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", dimensions: int = DIMENSIONS, per_language: int = PER_LANGUAGE) -> DataFrame:
+def drop_unknown(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", dimensions: int = DIMENSIONS) -> DataFrame:
     """docs in a language, columns as they were.
 
     Null texts and texts without letters go, and texts whose best cosine is below the limit for their number of
@@ -259,7 +248,7 @@ def drop_unknown(docs: DataFrame, text: str = "text", lang: str = "lang", id: st
     """
     inner = docs.select(packed(docs), F.col(text).alias("t"), F.col(lang).alias("l"), F.col(id).alias("i"))
     out = held_out(F.col("i"))
-    names, protos = learn(inner.filter(~out), "t", "l", "i", dimensions, per_language)
-    limits = calibrate(inner.filter(out), names, protos, "t", "l", "i", dimensions)
+    names, protos = learn(inner.filter(~out), "t", "l", dimensions)
+    limits = calibrate(inner.filter(out), names, protos, "t", "l", dimensions)
     known = predictor(names, protos, dimensions, limits)(F.col("t"))
     return inner.select(ROW, known.alias("p")).filter("p.known").select(f"{ROW}.*")

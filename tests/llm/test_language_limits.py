@@ -28,3 +28,22 @@ def test_without_labels_texts_with_letters_stay(spark):
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 4 == 2)
     only = spark.createDataFrame([(held, "der hund", "de", "s", 8), (1, "the cat", None, "s", 7)], SCHEMA)
     assert language_id.drop_unknown(only).count() == 2
+
+
+def test_every_labelled_row_counts(spark):
+    """More rows of one language than a sample of 4,000 to learn from, or of 1,000 to calibrate on, would keep."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdefgh "), 12)) + "x" for _ in range(6000)]
+    names, protos = language_id.learn(spark.createDataFrame([(t, "l") for t in texts], "text string, lang string"), "text", "lang")
+    units = np.rint(language_id._unit(language_id.profiles(texts)) * 1e6).astype(np.int64).sum(0)
+    assert names == ["l"] and np.allclose(protos[0], units / np.linalg.norm(units), atol=1e-12)
+
+    long = "".join(rng.choice(list("abcdefghijklmnop"), 400))  # 30 of 3,000 rows: a sample of a third holds too few for a limit
+    docs = spark.createDataFrame([(long if i % 100 == 0 else "ab", "l") for i in range(3000)], "text string, lang string")
+    both = language_id._unit(language_id._unit(language_id.profiles([long, "ab"])).sum(0, keepdims=True))
+    limits = language_id.calibrate(docs, ["l"], both, "text", "lang")
+    scores = (language_id._unit(language_id.profiles([long, "ab"])) * both).sum(1)
+    assert abs(limits[7] - language_id.PART * int(scores[0] * language_id.BINS) / language_id.BINS) < 1e-9
+    odd = language_id._unit(language_id.profiles([long]))
+    limits = language_id.calibrate(docs, ["l"], odd, "text", "lang")
+    assert limits[7] == language_id.PART * (language_id.BINS - 1) / language_id.BINS and limits[1] < 0.2
