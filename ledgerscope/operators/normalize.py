@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerscope.functions.expr import at, exploded, first_truthy, plain_text, truthy_text, typed
+from ledgerscope.functions import loose
+from ledgerscope.functions.expr import at, exploded, first_truthy
+from ledgerscope.functions.loose import Loose
 from ledgerscope.schemas import TABLES
 from ledgerscope.sources.city import CityConfig
 
@@ -85,92 +86,39 @@ _LINKS = {"": "linkSistemaOrigem"}
 _KIND = {"text": "string", "int": "bigint", "real": "double"}
 
 
-def _place(key: str) -> tuple[str, str]:
-    """The VARIANT column and path of a key: org. and unit. keys lie in the resolved objects."""
-    base, _, rest = key.partition(".")
-    return (f"__{base}_variant", rest) if rest else ("record", key)
-
-
-def _name(key: str) -> str:
-    """A column name that tells keys apart where names ignore case."""
-    return "__" + key.encode().hex()
-
-
-def _members(json: Column, keys: list[str]) -> Column:
-    """The members of a JSON object as a struct of texts (the JSON itself of nested values), all in one pass."""
-    schema, names = (T.StructType([T.StructField(f(k), T.StringType()) for k in keys]) for f in (lambda k: _place(k)[1], _name))
-    return F.from_json(json, schema).cast(names)
-
-
-def _staged(rows: DataFrame, keys: dict[str, str], objects: dict[str, list[str]]) -> DataFrame:
-    """rows with the nested objects and, as structs, the text of every key in use.
-
-    A record and its objects are read once each; the VARIANT is asked again only where a text doesn't settle what the
-    value is.
-    """
+def _read(rows: DataFrame, keys: dict[str, str], objects: dict[str, list[str]]) -> tuple[DataFrame, Loose]:
+    """rows with the texts of every key in use, and how to ask for them. A record is read once, its objects with it."""
     used = sorted({k for chain in keys.values() for k in chain.split() if not k.startswith("city.")})
-    tops = [k for k in used if "." not in k] + [p for paths in objects.values() for p in paths]
-    rows = rows.withColumn("__json", F.to_json("record")).withColumn("__record", _members(F.col("__json"), tops))
-    for name, paths in objects.items():
-        *tried, last = paths
-        found, text = at(F.col("record"), last), _object_text(last)
-        for path in reversed(tried):
-            is_there = _truthy(path)
-            found, text = F.when(is_there, at(F.col("record"), path)).otherwise(found), F.when(is_there, _object_text(path)).otherwise(text)
-        rows = rows.withColumns({f"__{name}_variant": found, f"__{name}_json": text})
-    return rows.withColumns({f"__{name}": _members(F.col(f"__{name}_json"), [k for k in used if k.startswith(f"{name}.")]) for name in objects})
-
-
-def _object_text(path: str) -> Column:
-    """The JSON of a member that is an object; null for others, a string that reads like an object included."""
-    text = _text(path)
-    return F.when(text.startswith("{") & F.contains("__json", F.lit(f'"{path}":{{')), text)
-
+    of = {base: [k.partition(".")[2] for k in used if k.startswith(f"{base}.")] for base in objects}
+    record, read = F.col("record"), F.col("__read")
+    rows = rows.withColumn("__read", loose.members(record, loose.paths(used, objects)))
+    rows = rows.withColumns({f"__{path}": loose.is_there(record, read, path, of[base]) for base, places in objects.items() for path in places[:-1]})
+    there = {path: F.col(f"__{path}") for places in objects.values() for path in places[:-1]}
+    found = Loose(record, objects, {"": read} | {base: F.col(f"__{base}") for base in objects}, there)
+    return rows.withColumns({f"__{base}": found.chosen(base, lambda path: read[loose.name(path)]) for base in objects}), found
 
-def _text(key: str) -> Column:
-    base = key.partition(".")[0] if "." in key else "record"
-    return F.col(f"__{base}.{_name(key)}")
 
-
-def _variant(key: str) -> Column:
-    base, path = _place(key)
-    return at(F.col(base), path)
-
-
-def _truthy(key: str) -> Column:
-    return truthy_text(_text(key), _variant(key))
-
-
-def _typed(key: str, kind: str) -> Column:
-    """The value of a key as string, bigint or double."""
-    text = _text(key)
-    if kind == "string":
-        return plain_text(text, _variant(key))
-    base, path = _place(key)
-    simple = text.rlike(r"^-?[0-9]{1,15}$" if kind == "bigint" else r"^-?[0-9]{1,15}([.][0-9]{1,10})?$")
-    return F.when(simple, text.try_cast(kind)).when(text.isNotNull(), typed(F.col(base), kind, path))
-
-
-def _value(chain: str, kind: str, city: CityConfig) -> Column:
+def _value(found: Loose, chain: str, kind: str, city: CityConfig) -> Column:
     """The first truthy key of a chain; else the city's value, or the last key as it is."""
     *tried, last = chain.split()
-    default = F.lit(getattr(city, last[5:])).cast(kind) if last.startswith("city.") else _typed(last, kind)
-    for key in reversed(tried):
-        default = F.when(_truthy(key), _typed(key, kind)).otherwise(default)
-    return default
+    if last.startswith("city."):
+        return found.first(tried, kind, F.lit(getattr(city, last[5:])).cast(kind))
+    return found.first([*tried, last], kind)
 
 
-def _normalized(rows: DataFrame, table: str, keys: dict[str, str], objects: dict, city: CityConfig, more: dict[str, Column]) -> DataFrame:
+def _normalized(rows: DataFrame, table: str, keys: dict[str, str], objects: dict, city: CityConfig, more=lambda found: {}) -> DataFrame:
     kinds = dict(TABLES[table].columns)
     kept = [F.col(c) for c in rows.columns if c not in kinds and c != "record"]
-    columns = {name: _value(chain, _KIND[kinds[name]], city) for name, chain in keys.items()}
-    columns |= {"city_slug": F.lit(city.slug), "source_system": F.lit(SOURCE_SYSTEM), "observed_at": F.col("observed_at"), "snapshot_sha256": F.col("snapshot_sha256")} | more
-    return _staged(rows, keys | _LINKS, objects).select(*[columns[name].alias(name) for name in TABLES[table].names], *kept)
+    rows, found = _read(rows, keys | _LINKS, objects)
+    columns = {name: _value(found, chain, _KIND[kinds[name]], city) for name, chain in keys.items()} | more(found)
+    columns["pncp_control_number"] = loose.apart(columns["pncp_control_number"])
+    columns |= {"city_slug": F.lit(city.slug), "source_system": F.lit(SOURCE_SYSTEM), "observed_at": F.col("observed_at"), "snapshot_sha256": F.col("snapshot_sha256")}
+    return rows.select(*[columns[name].alias(name) for name in TABLES[table].names], *kept)
 
 
 def procurements(rows: DataFrame, city: CityConfig) -> DataFrame:
     """rows (record VARIANT, observed_at, snapshot_sha256, ...) as procurements; other columns stay."""
-    return _normalized(rows, "procurements", PROCUREMENT_KEYS, PROCUREMENT_OBJECTS, city, {})
+    return _normalized(rows, "procurements", PROCUREMENT_KEYS, PROCUREMENT_OBJECTS, city)
 
 
 def contracts(rows: DataFrame, city: CityConfig) -> DataFrame:
@@ -178,15 +126,17 @@ def contracts(rows: DataFrame, city: CityConfig) -> DataFrame:
 
     source_url is the detail address where agency, year and sequence are there, else the record's link or ''.
     """
-    chain = CONTRACT_KEYS["sequence"]
-    *tried, last = chain.split()
-    numbered = _truthy(last)
-    for key in tried:
-        numbered = numbered | _truthy(key)
-    complete = _truthy("org.cnpj") & _truthy("anoContrato") & numbered
-    detail = F.format_string(CONTRACT_DETAIL, _typed("org.cnpj", "string"), _typed("anoContrato", "string"), _value(chain, "string", city))
-    url = F.when(complete, detail).when(_truthy("linkSistemaOrigem"), _typed("linkSistemaOrigem", "string")).otherwise("")
-    return _normalized(rows, "contracts", CONTRACT_KEYS, CONTRACT_OBJECTS, city, {"source_url": url})
+
+    def url(found: Loose) -> dict[str, Column]:
+        chain = CONTRACT_KEYS["sequence"]
+        numbered = F.lit(False)
+        for key in chain.split():
+            numbered = numbered | found.truthy(key)
+        complete = found.truthy("org.cnpj") & found.truthy("anoContrato") & numbered
+        detail = F.format_string(CONTRACT_DETAIL, found.typed("org.cnpj", "string"), found.typed("anoContrato", "string"), _value(found, chain, "string", city))
+        return {"source_url": F.when(complete, detail).when(found.truthy("linkSistemaOrigem"), found.typed("linkSistemaOrigem", "string")).otherwise("")}
+
+    return _normalized(rows, "contracts", CONTRACT_KEYS, CONTRACT_OBJECTS, city, url)
 
 
 def records_of_pages(pages: DataFrame) -> DataFrame:
