@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.functions.expr import at, exploded, first_truthy, folded, holds, typed
+from ledgerscope.functions import loose
+from ledgerscope.functions.expr import at, exploded, first_truthy, folded, holds
+from ledgerscope.functions.loose import Loose
 from ledgerscope.sources.city import CityConfig
 
 # The sphere of municipal bodies and the power of each branch.
@@ -25,25 +27,41 @@ def same_name(name: Column, city_name: str) -> Column:
     return F.coalesce(folded(name) == folded(F.lit(city_name)), F.lit(False))
 
 
+def _in_scope(record: Column, objects: dict[str, list[str]], spheres: list[str], powers: list[str], scope: str, unit_keys: list[str], here) -> Column:
+    """Records whose body is of the branch and whose unit is here(found); a record is read once, the VARIANT asked where texts leave a value open."""
+    keys = {"org": [*spheres, *powers], "unit": unit_keys}
+
+    def inside(record: Column, read: Column) -> Column:
+        there = {p: loose.is_there(record, read, p, [k.partition(".")[2] for k in keys[base]]) for base, places in objects.items() for p in places[:-1]}
+
+        def part(base: str, test) -> Column:
+            texts = Loose(record, objects, {}, there).chosen(base, lambda path: read[loose.name(path)])
+            return holds(texts, lambda t: test(Loose(record, objects, {base: t}, there)))
+
+        org = part("org", lambda found: branch_filter(found.first(spheres, "string"), found.first(powers, "string"), scope))
+        return org & part("unit", here)
+
+    where = loose.paths([*keys["org"], *keys["unit"]], objects)
+    # The record is bound by a lambda of its own: a filter on a parsed record would parse it again wherever it is named.
+    return holds(record, lambda r: holds(loose.members(r, where), lambda read: inside(r, read)))
+
+
 def procurement_in_scope(record: Column, city: CityConfig, scope: str) -> Column:
     """Procurements belong to a city by its name alone."""
-    text = lambda r, path: typed(at(r, path), "string")
-    return holds(record, lambda r: branch_filter(text(r, "orgaoEntidade.esferaId"), text(r, "orgaoEntidade.poderId"), scope) & same_name(text(r, "unidadeOrgao.municipioNome"), city.name))
+    objects = {"org": ["orgaoEntidade"], "unit": ["unidadeOrgao"]}
+    names = ["unit.municipioNome"]
+    return _in_scope(record, objects, ["org.esferaId"], ["org.poderId"], scope, names, lambda found: same_name(found.first(names, "string"), city.name))
 
 
 def contract_in_scope(record: Column, city: CityConfig, scope: str) -> Column:
     """Contracts belong to a city by its IBGE code or its name."""
-    either = lambda base, *paths: typed(first_truthy([at(base, p) for p in paths]), "string")
-
-    def here(unit: Column) -> Column:
-        code = either(unit, "codigoIbge", "codigoIbgeMunicipio", "municipioId") == city.ibge_code
-        return F.coalesce(code, F.lit(False)) | same_name(either(unit, "municipioNome", "nomeMunicipio"), city.name)
+    objects = {"org": ["orgaoEntidade", "orgao"], "unit": ["unidadeOrgao", "unidadeExecutora"]}
+    codes, names = ["unit.codigoIbge", "unit.codigoIbgeMunicipio", "unit.municipioId"], ["unit.municipioNome", "unit.nomeMunicipio"]
 
-    def inside(r: Column) -> Column:
-        org, unit = first_truthy([at(r, "orgaoEntidade"), at(r, "orgao")]), first_truthy([at(r, "unidadeOrgao"), at(r, "unidadeExecutora")])
-        return holds(org, lambda o: branch_filter(either(o, "esferaId", "esfera"), either(o, "poderId", "poder"), scope)) & holds(unit, here)
+    def here(found: Loose) -> Column:
+        return F.coalesce(found.first(codes, "string") == city.ibge_code, F.lit(False)) | same_name(found.first(names, "string"), city.name)
 
-    return holds(record, inside)
+    return _in_scope(record, objects, ["org.esferaId", "org.esfera"], ["org.poderId", "org.poder"], scope, [*codes, *names], here)
 
 
 def active_modalities(payload: DataFrame, column: str = "payload") -> DataFrame:

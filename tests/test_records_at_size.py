@@ -44,6 +44,13 @@ def test_stored_records_give_the_same(spark, tmp_path):
     assert [r["i"] for r in stored.filter(inside).select("i").collect()] == [r["i"] for r in rows.filter(inside).select("i").collect()] == [0]
 
 
+def test_scope_reads_a_record_once(spark):
+    rows = parsed(spark, [{}])
+    for inside in (scope.contract_in_scope, scope.procurement_in_scope):
+        plan = rows.filter(inside(F.col("record"), CITY, "executivo"))._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r", \$, StructField", plan)) == 1
+
+
 def python_scope(record, scope_name, org_paths, unit_paths, sphere, power, code, names):
     get = lambda base, key: base.get(key) if isinstance(base, dict) else None
     first = lambda base, keys: next((v for k in keys if (v := get(base, k))), get(base, keys[-1]))
